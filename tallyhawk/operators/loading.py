@@ -36,11 +36,14 @@ def as_stored(df: DataFrame, run_ts: datetime | None = None) -> DataFrame:
 def insert_if_absent(batch: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``batch`` whose key is not stored yet.
 
-    The join method is left to Spark, which broadcasts the stored keys only below its
-    own size threshold. A stored key that repeats is folded before the shuffle; a hot
-    key in the batch is split by adaptive execution.
+    The stored keys are first narrowed to those of the batch. Where Spark's own size
+    check lets it broadcast the batch's keys, the stored table is scanned in place and
+    never shuffled; beyond that size both sides meet on the key. Keys that repeat are
+    folded inside each task, and adaptive execution splits what is still hot.
     """
-    return batch.join(target.select(*keys).distinct(), keys, "left_anti")
+    wanted = batch.select(*keys).distinct()
+    stored = target.select(*keys).join(wanted, keys, "left_semi").distinct()
+    return batch.join(stored, keys, "left_anti")
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:

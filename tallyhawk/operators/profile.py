@@ -55,8 +55,8 @@ def amount_metrics() -> list[Column]:
     ]
 
 
-def landing_metrics(df: DataFrame) -> list[Column]:
-    """All that the gate and the scores need, to be observed while a batch is written."""
+def raw_metrics(df: DataFrame) -> list[Column]:
+    """All that the gate, the warnings and the scores need, for a single pass."""
     nulls = F.struct(*missing_counts(df)).alias("nulls")
     return [*amount_metrics(), nulls]
 
@@ -68,23 +68,35 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def column_stats(df: DataFrame) -> DataFrame:
     """(column_name, n, mean, stddev, min_value, max_value) of every numeric column.
 
-    All columns share one pass; the single wide row is then cut into one row each.
+    One pass: each row opens into one (position, value) pair per column, and the pairs
+    fold inside each task to one row per column. A single aggregate over all columns
+    would hold more fields than Spark generates code for. Without rows, n is 0.
     """
     names = numeric_columns(df)
-    wide = df.agg(
-        *(
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.count(name).alias("n"),
-                F.avg(name).alias("mean"),
-                F.stddev_samp(name).alias("stddev"),
-                F.min(name).cast("double").alias("min_value"),
-                F.max(name).cast("double").alias("max_value"),
-            ).alias(name)
-            for name in names
+    values = F.array(*(F.col(name).cast("double") for name in names))
+    stats = (
+        df.select(F.posexplode(values).alias("position", "value"))
+        .groupBy("position")
+        .agg(
+            F.count("value").alias("n"),
+            F.avg("value").alias("mean"),
+            F.stddev_samp("value").alias("stddev"),
+            F.min("value").alias("min_value"),
+            F.max("value").alias("max_value"),
         )
     )
-    return wide.select(F.inline(F.array(*(F.col(f"`{name}`") for name in names))))
+    positions = df.sparkSession.range(len(names), numPartitions=1).select(
+        F.col("id").cast("int").alias("position")
+    )
+    name_at = F.element_at(F.array(*(F.lit(name) for name in names)), F.col("position") + 1)
+    return positions.join(stats, "position", "left").select(
+        name_at.alias("column_name"),
+        F.coalesce("n", F.lit(0)).alias("n"),
+        "mean",
+        "stddev",
+        "min_value",
+        "max_value",
+    )
 
 
 def describe(df: DataFrame) -> DataFrame:

@@ -1,0 +1,46 @@
+"""Small hand-written and generated inputs."""
+
+from __future__ import annotations
+
+import random
+
+from tallyhawk.schema import PCA_COLUMNS, RAW_SCHEMA
+
+NAN = float("nan")
+
+
+def transactions(spark, rows):
+    """(Time, Amount, Class) rows."""
+    return spark.createDataFrame(rows, "Time double, Amount double, Class int")
+
+
+def raw_row(time, amount, label, fill=0.0):
+    return (time, *([fill] * len(PCA_COLUMNS)), amount, label)
+
+
+def raw_frame(spark, rows):
+    return spark.createDataFrame(rows, RAW_SCHEMA)
+
+
+def random_raw_rows(n, seed=42, fraud=0.02):
+    """Two days of seconds, exponential amounts, rare class 1, normal components."""
+    draw = random.Random(seed)
+    return [
+        (
+            float(draw.randrange(172_800)),
+            *(draw.gauss(0, 1) for _ in PCA_COLUMNS),
+            round(draw.expovariate(1 / 50), 2),
+            int(draw.random() < fraud),
+        )
+        for _ in range(n)
+    ]
+
+
+def write_raw_csv(path, rows):
+    """A raw file as it arrives: header, plain numbers, empty cells for None."""
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with path.open("w") as out:
+        out.write(",".join(RAW_SCHEMA.fieldNames()) + "\n")
+        for row in rows:
+            out.write(",".join("" if cell is None else repr(cell) for cell in row) + "\n")
+    return str(path.parent)

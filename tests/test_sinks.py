@@ -1,0 +1,119 @@
+import os
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyhawk.plans.session import scratch_folder
+from tallyhawk.sinks import tables
+from tallyhawk.sources import files
+from tests.rows import transactions
+
+D1, D2 = date(2024, 1, 1), date(2024, 1, 2)
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()))
+
+
+@pytest.fixture
+def parts(spark):
+    rows = [(float(i), float(i % 7), int(i % 10 == 0)) for i in range(1000)]
+    return transactions(spark, rows).repartition(4)
+
+
+@pytest.mark.parametrize("rebalance", [False, True])
+def test_parquet_by_class(spark, tmp_path, parts, rebalance):
+    path = str(tmp_path / "t")
+    for _ in range(2):
+        tables.write_by_class(parts, path, order=("Amount",), rebalance=rebalance)
+    back = files.read_parquet(spark, path)
+    assert back.columns == ["Time", "Amount", "Class"]
+    assert rows_of(back) == rows_of(parts)
+    plan = back.where("Class = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(Class" in plan
+
+
+def test_files_are_sorted_inside_each_class(spark, tmp_path, parts):
+    path = str(tmp_path / "t")
+    tables.write_by_class(parts, path, order=("Amount", "Time"))
+    for label in (0, 1):
+        for name in os.listdir(f"{path}/Class={label}"):
+            if name.endswith(".parquet"):
+                got = [tuple(r) for r in spark.read.parquet(f"{path}/Class={label}/{name}")
+                       .select("Amount", "Time").collect()]
+                assert got == sorted(got)
+
+
+def test_csv_in_parts_or_one_file(spark, tmp_path, parts):
+    count = lambda p: len([n for n in os.listdir(p) if n.endswith(".csv")])
+    tables.write_csv(parts, str(tmp_path / "many"))
+    tables.write_csv(parts, str(tmp_path / "one"), single_file=True)
+    assert count(tmp_path / "many") == 4 and count(tmp_path / "one") == 1
+    for name in ("many", "one"):
+        assert rows_of(files.read_transactions_csv(spark, str(tmp_path / name))) == rows_of(parts)
+
+
+def dated(spark, rows):
+    return spark.createDataFrame(rows, "date_processed date, n int")
+
+
+def test_refresh_replaces_only_the_given_dates(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.refresh_dates(dated(spark, [(D1, 1), (D2, 2)]), path)
+    for _ in range(2):
+        tables.refresh_dates(dated(spark, [(D2, 5)]), path)
+    got = files.read_parquet(spark, path).select("date_processed", "n")
+    assert rows_of(got) == [(D1, 1), (D2, 5)]
+
+
+def test_replace_day_also_removes_what_is_gone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, 0), (2, 1)], "n int, class int")
+    tables.replace_day(df, path, D1, ("class",))
+    tables.replace_day(df, path, D2, ("class",))
+    tables.replace_day(df.where("class = 0"), path, D1, ("class",))
+    got = files.read_parquet(spark, path).select("date_processed", "n", "class")
+    assert rows_of(got) == [(D1, 1, 0), (D2, 1, 0), (D2, 2, 1)]
+
+
+def test_create_table_twice_and_query_it(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.refresh_dates(dated(spark, [(D1, 1), (D2, 2)]), path)
+    schema = spark.read.parquet(path).schema
+    for _ in range(2):
+        tables.create_table(spark, "declared_here", schema, path, ("date_processed",))
+    spark.sql("ALTER TABLE declared_here RECOVER PARTITIONS")
+    got = spark.sql("SELECT n FROM declared_here WHERE date_processed = DATE'2024-01-02'")
+    assert rows_of(got) == [(2,)]
+    spark.sql("DROP TABLE declared_here")
+
+
+def test_jdbc_append_is_batched(monkeypatch):
+    """No database here: only what Spark is asked for."""
+    asked = {}
+
+    class Writer:
+        def jdbc(self, url, table, mode, properties):
+            asked.update(properties, mode=mode, table=table)
+
+    class Frame:
+        write = Writer()
+
+    tables.write_jdbc(Frame(), "jdbc:x:y", "t", {"user": "u"}, max_connections=16)
+    assert asked == {
+        "user": "u", "batchsize": "10000", "numPartitions": "16", "mode": "append", "table": "t",
+    }
+
+
+def test_scratch_is_shared_and_fresh(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch_folder(spark), scratch_folder(spark)
+    assert first.startswith(shared) and first != second
+
+
+def test_plain_append(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.append_rows(spark.range(3).withColumn("class", F.lit(0)), path, ("class",))
+    tables.append_rows(spark.range(3, 5).withColumn("class", F.lit(1)), path, ("class",))
+    assert files.read_parquet(spark, path).count() == 5
