@@ -26,9 +26,14 @@ class RunResult:
     raw_gate: list[dict] = field(default_factory=list)
     rows_stored: int = 0
     load_gate: list[dict] = field(default_factory=list)
+    class_distribution: list[dict] = field(default_factory=list)
     report: str = ""
     expired: list[str] = field(default_factory=list)
 
+    @property
+    def rows_removed(self) -> int:
+        return self.raw_metrics["n_rows"] - self.rows_stored
+
 
 def run_day(
     spark: SparkSession,
@@ -65,6 +70,8 @@ def run_day(
 
     load.load_marts(stored, store, run_ts)
     result.load_gate = load.validate_load(spark, store, result.as_of, result.rows_stored)
+    classes = distribution.class_distribution(stored, "class").collect()
+    result.class_distribution = [row.asDict() for row in classes]
     result.report = daily_report(spark, store, result.as_of)
     if keep_days is not None:
         result.expired = snapshots.empty_expired(spark, store.raw, run_ts, keep_days)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from tallyhawk.operators import distribution, profile
 from tallyhawk.operators.cleaning import clean, drop_incomplete
 from tallyhawk.operators.features import (
     Moments,
@@ -15,6 +16,8 @@ from tallyhawk.operators.features import (
     with_row_id,
 )
 from tallyhawk.schema import ROW_ID
+from tallyhawk.sinks import tables
+from tallyhawk.sources import files
 
 
 def transform(
@@ -31,3 +34,20 @@ def transform(
     identified = raw if ROW_ID in raw.columns else with_row_id(raw)
     featured = with_features(clean(identified), moments)
     return drop_incomplete(with_processing_time(featured, run_ts))
+
+
+def save_processed(
+    spark: SparkSession, processed: DataFrame, root: str, csv_copy: bool = False
+) -> DataFrame:
+    """Processed transactions as files of their own, with their two statistics tables.
+
+    Parquet by class is the one computation; the optional CSV copy and the statistics
+    read it back, so all of them hold the same rows. Returns the written table.
+    """
+    tables.write_by_class(processed, f"{root}/processed", order=("hour_of_day", "Amount"))
+    written = files.read_parquet(spark, f"{root}/processed")
+    if csv_copy:
+        tables.write_csv(written.select(*processed.columns), f"{root}/processed_csv")
+    tables.write_csv(profile.describe(written), f"{root}/summary_statistics")
+    tables.write_csv(distribution.counts_by_exact_hour(written), f"{root}/fraud_by_hour")
+    return written

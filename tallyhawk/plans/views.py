@@ -16,7 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def seconds_since(moment: str, first: str) -> Column:
     """Exact seconds between two zone-less times, microseconds kept."""
     elapsed = f"CAST({moment} - TIMESTAMP_NTZ'{first}' AS INTERVAL SECOND)"
-    return F.expr(f"CAST({elapsed} AS DECIMAL(20, 6))").cast("double")
+    return F.expr(f"CAST({elapsed} AS DECIMAL(18, 6))").cast("double")
 
 
 def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

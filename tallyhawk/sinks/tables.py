@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import types as T
 
 from tallyhawk.schema import (
@@ -36,12 +36,13 @@ def write_by_class(
     """Parquet with one directory per class, sorted inside each file.
 
     The sort starts with the class because the partitioned write needs that order
-    anyway; there is one sort and no shuffle. ``rebalance`` adds a shuffle that evens
-    out file sizes: worth it when the rare class would leave one tiny file per task.
+    anyway; there is one sort and no shuffle. ``rebalance`` adds a shuffle in which
+    adaptive execution evens out file sizes, splitting the large class over many tasks:
+    worth it when the rare class would leave one tiny file per task.
     """
     rows = df.hint("rebalance", label) if rebalance else df
     rows = rows.sortWithinPartitions(label, *order)
-    rows.write.mode("overwrite").partitionBy(label).parquet(path)
+    _replacing(rows).partitionBy(label).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -81,10 +82,9 @@ def replace_day(df: DataFrame, path: str, day: date, partition_by: tuple[str, ..
     rows = df.drop(DATE)
     if partition_by:
         rows = rows.sortWithinPartitions(*partition_by, *_present(rows, SEARCH_ORDER))
-    writer = rows.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(day_path(path, day))
+        _replacing(rows).partitionBy(*partition_by).parquet(day_path(path, day))
+    else:
+        _replacing(rows).parquet(day_path(path, day))
 
 
 def refresh_dates(df: DataFrame, path: str) -> None:
@@ -130,5 +130,10 @@ def create_table(
     )
 
 
+def _replacing(df: DataFrame) -> DataFrameWriter:
+    """A writer that empties the whole path first, whatever the session's default is."""
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+
+
 def _present(df: DataFrame, names: tuple[str, ...]) -> list[str]:
     return [name for name in names if name in df.columns]

@@ -73,8 +73,10 @@ def test_marts_agree_with_the_rows(spark, run):
         assert hours[hour]["avg_amount"] == pytest.approx(mean(r[29] for r in inside))
 
 
-def test_report_and_gates(run):
+def test_report_gates_and_counts(run):
     result = run[2]
+    assert result.rows_removed == len(COPIES) + len(INCOMPLETE)
+    assert sum(row["n_rows"] for row in result.class_distribution) == len(set(ROWS))
     assert f"Total Transactions: {len(set(ROWS)):,}" in result.report
     assert all(row["passed"] for row in result.raw_gate + result.load_gate)
 
@@ -147,6 +149,36 @@ def test_missing_source_and_missing_summary(spark, run, tmp_path):
         daily.daily_report(spark, run[1], datetime(2030, 1, 1).date())
 
 
+def test_command_line(spark, tmp_path, capsys):
+    from tallyhawk.__main__ import main
+
+    source = write_raw_csv(tmp_path / "in" / "a.csv", ROWS)
+    out = str(tmp_path / "out")
+    options = ["--source", source, "--root", out, "--run-ts", "2024-01-20T03:04:05"]
+    saved = {key: spark.conf.get(key, None) for key in session_settings(1)}
+    try:
+        main([*options, "--min-rows", "100"])
+    finally:
+        for key, value in saved.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert "Date: 2024-01-20" in capsys.readouterr().out
+
+
+def test_processed_files_and_their_statistics(spark, tmp_path):
+    from tallyhawk.plans.transform import save_processed, transform
+    from tallyhawk.sources.files import read_processed_csv
+    from tests.rows import raw_frame
+
+    clean = transform(raw_frame(spark, ROWS + COPIES), RUN)
+    written = save_processed(spark, clean, str(tmp_path), csv_copy=True)
+    assert written.columns[-1] == "Class" and written.count() == len(set(ROWS))
+    copy = read_processed_csv(spark, str(tmp_path / "processed_csv"))
+    assert copy.columns == clean.columns
+    same = lambda df: sorted(map(str, df.select(*clean.columns).collect()))
+    assert same(copy) == same(written)
+    assert spark.read.csv(str(tmp_path / "summary_statistics"), header=True).count() == 5
+
+
 def test_settings_follow_the_input_size():
     small, huge = session_settings(1 << 30), session_settings(100 << 40)
     assert int(small["spark.sql.shuffle.partitions"]) == 8

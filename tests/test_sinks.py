@@ -67,12 +67,17 @@ def test_refresh_replaces_only_the_given_dates(spark, tmp_path):
     assert rows_of(got) == [(D1, 1), (D2, 5)]
 
 
-def test_replace_day_also_removes_what_is_gone(spark, tmp_path):
+@pytest.mark.parametrize("session_default", ["static", "dynamic"])
+def test_replace_day_also_removes_what_is_gone(spark, tmp_path, session_default):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([(1, 0), (2, 1)], "n int, class int")
-    tables.replace_day(df, path, D1, ("class",))
-    tables.replace_day(df, path, D2, ("class",))
-    tables.replace_day(df.where("class = 0"), path, D1, ("class",))
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", session_default)
+    try:
+        tables.replace_day(df, path, D1, ("class",))
+        tables.replace_day(df, path, D2, ("class",))
+        tables.replace_day(df.where("class = 0"), path, D1, ("class",))
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     got = files.read_parquet(spark, path).select("date_processed", "n", "class")
     assert rows_of(got) == [(D1, 1, 0), (D2, 1, 0), (D2, 2, 1)]
 
