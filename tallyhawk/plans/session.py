@@ -30,8 +30,6 @@ def session_settings(input_bytes: int, cores: int = 8) -> dict[str, str]:
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(per_reducer),
         "spark.sql.shuffle.partitions": str(reducers),
         "spark.sql.files.maxPartitionBytes": str(per_scan_task),
-        # Wide numeric tables: let aggregates over all columns run in generated code.
-        "spark.sql.codegen.maxFields": "1000",
         "spark.sql.session.timeZone": "UTC",
     }
 

@@ -55,6 +55,13 @@ def test_describe_has_five_rows_and_skips_times(spark):
     assert "t" not in described.columns
 
 
+def test_describe_in_groups_equals_describing_at_once(spark):
+    df = raw_frame(spark, random_raw_rows(300)).selectExpr("*", "concat('r', Class) AS note")
+    assert [tuple(r) for r in profile.describe(df).collect()] == [
+        tuple(r) for r in df.describe().collect()
+    ]
+
+
 def test_amount_stats(spark):
     df = transactions(spark, [(0.0, 1.0, 0), (0.0, 3.0, 1), (0.0, NAN, 1), (0.0, None, 0)])
     row = profile.amount_stats(df).first()
