@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 from datetime import datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,3 +52,13 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
     return counted.where("n_rows > 1")
+
+
+def key_faults(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row: how many keys repeat, and how many rows have no complete key."""
+    no_key = reduce(or_, (F.col(key).isNull() for key in keys))
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.agg(
+        F.count_if(~no_key & (F.col("n_rows") > 1)).alias("repeated_keys"),
+        F.coalesce(F.sum(F.when(no_key, F.col("n_rows"))), F.lit(0)).alias("rows_without_key"),
+    )

@@ -73,12 +73,35 @@ def validate_load(spark: SparkSession, store: Store, day: date, expected_rows: i
     return gates.enforce(gates.load_gate(stored, summaries, F.lit(expected_rows)))
 
 
+def rebuild_marts(transactions: DataFrame, store: Store, run_ts: datetime) -> None:
+    """Both marts of every date in ``transactions``; dates that are not there stay."""
+    totals = marts.hour_totals(transactions).persist()
+    try:
+        for mart, path in (
+            (marts.hourly_stats(totals), store.hourly),
+            (marts.daily_summary(totals), store.daily),
+        ):
+            # At most 24 rows per date meet, so each date becomes one file.
+            dated = marts.with_created_at(mart, run_ts).repartition(DATE)
+            tables.refresh_dates(dated, path)
+    finally:
+        totals.unpersist()
+
+
 def append_absent(
-    batch: DataFrame, target: DataFrame, path: str, keys: list[str], partition_by: tuple[str, ...] = ()
+    batch: DataFrame,
+    target: DataFrame,
+    path: str,
+    keys: list[str],
+    partition_by: tuple[str, ...] = (),
 ) -> None:
-    """Append the rows whose key is new. A key that repeats inside the batch is an error."""
-    repeated = loading.duplicate_keys(batch, keys).agg(F.count(F.lit(1)).alias("n"))
-    gates.enforce(
-        repeated.select(F.inline(F.array(gates.check("repeated_keys", F.col("n"), upper=0))))
+    """Append the rows whose key is new.
+
+    A key that repeats inside the batch or is null is an error, as it is for a primary key.
+    """
+    checks = F.array(
+        gates.check("repeated_keys", F.col("repeated_keys"), upper=0),
+        gates.check("rows_without_key", F.col("rows_without_key"), upper=0),
     )
+    gates.enforce(loading.key_faults(batch, keys).select(F.inline(checks)))
     tables.append_rows(loading.insert_if_absent(batch, target, keys), path, partition_by)

@@ -45,10 +45,11 @@ def scratch_folder(spark: SparkSession) -> str:
 
     Only a local session without that setting falls back to this machine's disk.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         shared = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        context.setCheckpointDir(shared)
     return f"{shared}/tallyhawk-{uuid.uuid4().hex}"

@@ -65,10 +65,22 @@ def test_append_absent_twice_adds_nothing(spark, tmp_path):
         assert sorted(r["id"] for r in files.read_parquet(spark, path).collect()) == list(range(100))
 
 
-def test_append_absent_refuses_repeated_keys(spark, tmp_path):
+@pytest.mark.parametrize(
+    "keys, fault", [([1, 2, 2], "repeated_keys"), ([1, None, 2], "rows_without_key")]
+)
+def test_append_absent_refuses_faulty_keys(spark, tmp_path, keys, fault):
     path = str(tmp_path / "t")
     spark.range(1).write.parquet(path)
-    batch = spark.range(5).union(spark.range(5))
-    with pytest.raises(gates.GateFailed, match="repeated_keys"):
+    batch = spark.createDataFrame([(key,) for key in keys], "id long")
+    with pytest.raises(gates.GateFailed, match=fault):
         load.append_absent(batch, files.read_parquet(spark, path), path, ["id"])
     assert files.read_parquet(spark, path).count() == 1
+
+
+def test_key_faults_counts_both_kinds(spark):
+    df = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (None, 3), (None, 3)], "a int, b int")
+    assert loading.key_faults(df, ["a", "b"]).first().asDict() == {
+        "repeated_keys": 1,
+        "rows_without_key": 2,
+    }
+    assert tuple(loading.key_faults(df.limit(0), ["a"]).first()) == (0, 0)

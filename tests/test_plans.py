@@ -1,0 +1,82 @@
+"""What the plans of the registered queries must and must not contain."""
+
+import pytest
+
+from tallyhawk.plans.registry import QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "ExistingRDD")
+
+
+def plan_of(spark, name):
+    return QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+
+
+def scans(plan):
+    return [line for line in plan.splitlines() if "FileScan parquet" in line]
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_cross_join_and_no_python(spark, name):
+    plan = plan_of(spark, name)
+    assert not [word for word in FORBIDDEN if word in plan]
+
+
+@pytest.mark.parametrize(
+    "name, columns",
+    [
+        ("amount_stats", {"l_extendedprice", "l_discount", "l_returnflag"}),
+        ("class_distribution", {"l_returnflag"}),
+        ("daily_fraud_summary", {"ts", "event_type", "value"}),
+        ("duplicate_keys", {"l_orderkey", "l_linenumber"}),
+        ("null_totals", None),
+    ],
+)
+def test_scans_read_only_what_is_used(spark, name, columns):
+    plan = plan_of(spark, name)
+    if columns is None:
+        assert "props" not in plan
+        return
+    for scan in scans(plan):
+        read = scan.split("ReadSchema: struct<")[1].rstrip(">")
+        assert {part.split(":")[0] for part in read.split(",")} == columns
+
+
+@pytest.mark.parametrize(
+    "name, exchanges",
+    [
+        ("amount_bands", 1),
+        ("class_counts", 1),
+        ("hourly_fraud_stats", 1),
+        ("dedup_rows", 1),
+        ("dedup_survivors", 1),
+        ("duplicate_keys", 1),
+        ("clean_transactions", 1),
+        ("features", 0),
+        ("row_key", 0),
+        ("stored_columns", 0),
+        ("clean_rows", 0),
+    ],
+)
+def test_number_of_hash_shuffles(spark, name, exchanges):
+    assert plan_of(spark, name).count("Exchange hashpartitioning") == exchanges
+
+
+@pytest.mark.parametrize("name", ["dedup_rows", "dedup_survivors", "clean_transactions", "amount_bands"])
+def test_rows_fold_before_the_shuffle(spark, name):
+    plan = plan_of(spark, name)
+    below = plan.split("Exchange hashpartitioning", 1)[1]
+    assert "HashAggregate" in below and "SortAggregate" not in plan
+
+
+def test_class_filter_prunes_directories(spark):
+    plan = plan_of(spark, "parquet_fraud_rows")
+    assert "PartitionFilters: [isnotnull(Class" in plan
+    assert "ReadSchema: struct<Amount:double>" in plan
+
+
+def test_moments_are_computed_once(spark):
+    df = QUERIES["features"](spark, SF_DIR)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("partial_stddev_samp") == 1 and "ReusedSubquery" in plan

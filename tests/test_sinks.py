@@ -117,6 +117,36 @@ def test_scratch_is_shared_and_fresh(spark):
     assert first.startswith(shared) and first != second
 
 
+@pytest.mark.parametrize("master, allowed", [("local[2]", True), ("yarn", False)])
+def test_only_local_sessions_fall_back_to_local_disk(master, allowed):
+    class Context:
+        def __init__(self):
+            self.master, self.folder = master, None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+    session = Session()
+    if allowed:
+        folder = scratch_folder(session)
+        assert folder.startswith(session.sparkContext.folder)
+        assert scratch_folder(session).startswith(session.sparkContext.folder)
+    else:
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            scratch_folder(session)
+
+
 def test_plain_append(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.append_rows(spark.range(3).withColumn("class", F.lit(0)), path, ("class",))
