@@ -25,6 +25,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--max-fraud-rate", type=float, default=MAX_FRAUD_RATE)
     parser.add_argument("--csv-copy", action="store_true")
     parser.add_argument("--keep-days", type=int)
+    parser.add_argument("--rebalance", action="store_true", help="even out file sizes")
     given = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("tallyhawk").getOrCreate()
@@ -39,6 +40,7 @@ def main(arguments: list[str] | None = None) -> None:
         limits,
         csv_copy=given.csv_copy,
         keep_days=given.keep_days,
+        rebalance=given.rebalance,
     )
     for warning in result.warnings:
         print(f"warning: {warning}")

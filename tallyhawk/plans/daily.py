@@ -43,6 +43,7 @@ def run_day(
     limits: gates.Limits = gates.Limits(),
     csv_copy: bool = False,
     keep_days: int | None = None,
+    rebalance: bool = False,
 ) -> RunResult:
     """One batch from CSV files to report. Running it again gives the same state.
 
@@ -62,7 +63,7 @@ def run_day(
     moments = (result.raw_metrics["amount_mean"], result.raw_metrics["amount_stddev"])
     clean = transform(raw, run_ts, moments)
     gates.enforce_columns(clean, REQUIRED_ENGINEERED)
-    result.rows_stored = load.store_transactions(clean, store, run_ts)
+    result.rows_stored = load.store_transactions(clean, store, run_ts, rebalance)
     stored = load.stored_transactions(spark, store, result.as_of)
     write_statistics(stored, store, result.as_of)
     if csv_copy:

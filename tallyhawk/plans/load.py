@@ -11,22 +11,33 @@ from pyspark.sql import types as T
 from tallyhawk.operators import gates, loading, marts
 from tallyhawk.operators.features import with_processing_date
 from tallyhawk.plans.store import Store
-from tallyhawk.schema import DAILY_SCHEMA, DATE, HOURLY_SCHEMA, REQUIRED_STORED, TRANSACTIONS_SCHEMA
+from tallyhawk.schema import (
+    CLASS,
+    DAILY_SCHEMA,
+    DATE,
+    HOURLY_SCHEMA,
+    ROW_ID,
+    TRANSACTIONS_SCHEMA,
+)
 from tallyhawk.sinks import tables
 
 
-def store_transactions(clean: DataFrame, store: Store, run_ts: datetime) -> int:
+def store_transactions(
+    clean: DataFrame, store: Store, run_ts: datetime, rebalance: bool = False
+) -> int:
     """Write the transactions of one run date, replacing what it held; returns the rows.
 
     The rows are counted by the tasks that write them. That is the last stage of the
-    job, whose repeated tasks Spark counts once.
+    job, whose repeated tasks Spark counts once. ``rebalance`` evens out the files of
+    the classes by one more shuffle, as in ``write_by_class``.
     """
-    gates.enforce_columns(clean, ("Class", *REQUIRED_STORED[:1]))
+    gates.enforce_columns(clean, (CLASS, ROW_ID))
+    stored = loading.as_stored(clean, run_ts)
+    if rebalance:
+        stored = stored.hint("rebalance", "class")
     written = Observation()
-    stored = loading.as_stored(clean, run_ts).observe(
-        written, F.count(F.lit(1)).alias("n_rows")
-    )
-    tables.replace_day(stored, store.transactions, run_ts.date(), partition_by=("class",))
+    counted = stored.observe(written, F.count(F.lit(1)).alias("n_rows"))
+    tables.replace_day(counted, store.transactions, run_ts.date(), partition_by=("class",))
     return written.get["n_rows"]
 
 

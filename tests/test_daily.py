@@ -165,6 +165,16 @@ def test_missing_source_and_missing_summary(spark, run, tmp_path):
         daily.daily_report(spark, run[1], datetime(2030, 1, 1).date())
 
 
+def test_rebalanced_files_hold_the_same_rows(spark, run, tmp_path):
+    store = Store(str(tmp_path / "out"))
+    result = daily.run_day(spark, run[0], store, RUN, LIMITS, rebalance=True)
+    assert result.rows_stored == len(set(ROWS))
+    ours, theirs = (
+        load.stored_transactions(spark, s, RUN.date()).drop("amount_zscore") for s in (store, run[1])
+    )
+    assert sorted(map(str, ours.collect())) == sorted(map(str, theirs.collect()))
+
+
 def test_command_line(spark, tmp_path, capsys):
     from tallyhawk.__main__ import main
 

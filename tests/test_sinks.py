@@ -45,6 +45,13 @@ def test_files_are_sorted_inside_each_class(spark, tmp_path, parts):
                 assert got == sorted(got)
 
 
+def test_range_filters_reach_the_row_groups(spark, tmp_path, parts):
+    path = str(tmp_path / "t")
+    tables.write_by_class(parts, path, order=("Amount",))
+    plan = files.read_parquet(spark, path).where("Amount > 5")._jdf.queryExecution()
+    assert "GreaterThan(Amount,5.0)" in plan.executedPlan().toString()
+
+
 def test_csv_in_parts_or_one_file(spark, tmp_path, parts):
     count = lambda p: len([n for n in os.listdir(p) if n.endswith(".csv")])
     tables.write_csv(parts, str(tmp_path / "many"))
