@@ -12,11 +12,10 @@ from tallyhawk.operators import gates, loading, marts
 from tallyhawk.operators.features import with_processing_date
 from tallyhawk.plans.store import Store
 from tallyhawk.schema import (
-    CLASS,
     DAILY_SCHEMA,
     DATE,
     HOURLY_SCHEMA,
-    ROW_ID,
+    REQUIRED_STORED,
     TRANSACTIONS_SCHEMA,
 )
 from tallyhawk.sinks import tables
@@ -31,8 +30,8 @@ def store_transactions(
     job, whose repeated tasks Spark counts once. ``rebalance`` evens out the files of
     the classes by one more shuffle, as in ``write_by_class``.
     """
-    gates.enforce_columns(clean, (CLASS, ROW_ID))
     stored = loading.as_stored(clean, run_ts)
+    gates.enforce_columns(stored, REQUIRED_STORED)
     if rebalance:
         stored = stored.hint("rebalance", "class")
     written = Observation()

@@ -107,7 +107,8 @@ def test_transform_of_the_wide_schema(spark):
 
 def test_many_copies_of_one_row_send_one_row_per_task(spark):
     """A third of all rows are one row: the shuffle carries it once per map task."""
-    hot = spark.range(0, 30_000, numPartitions=8).selectExpr("1.0D AS Time", "2.0D AS Amount", "0 AS Class")
+    hot = spark.range(0, 30_000, numPartitions=8).selectExpr(
+        "1.0D AS Time", "2.0D AS Amount", "0 AS Class")
     rest = spark.range(0, 60_000, numPartitions=8).selectExpr(
         "cast(id AS double) AS Time", "3.0D AS Amount", "1 AS Class")
     df = features.with_row_id(hot.union(rest))

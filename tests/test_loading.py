@@ -19,7 +19,8 @@ def test_colliding_names_are_refused():
 
 def test_stored_form(spark):
     stored = loading.as_stored(raw_frame(spark, [raw_row(1.0, 2.0, 1)]))
-    assert stored.columns[0] == "time_seconds" and stored.columns[-3:] == ["amount", "class", "created_at"]
+    assert stored.columns[0] == "time_seconds"
+    assert stored.columns[-3:] == ["amount", "class", "created_at"]
 
 
 def test_insert_if_absent_keeps_only_new_keys(spark):

@@ -2,10 +2,23 @@ from datetime import date, datetime, timedelta
 
 import pytest
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
 from tallyhawk.operators import marts
 from tallyhawk.operators.report import report
 
 D1, D2 = date(2024, 1, 1), date(2024, 1, 2)
+SCHEMA = "date_processed date, hour_of_day double, amount double, class int"
+ROWS = st.lists(
+    st.tuples(
+        st.sampled_from([D1, D2]),
+        st.sampled_from([0.0, 0.99, 1.0, 13.5, 23.999]),
+        st.sampled_from([None, 0.0, 1.5, 40.0, -3.0]),
+        st.sampled_from([None, 0, 1]),
+    ),
+    max_size=25,
+)
 
 
 @pytest.fixture(scope="module")
@@ -14,9 +27,7 @@ def stored(spark):
         (D1, 0.5, 10.0, 0), (D1, 0.9, 20.0, 0), (D1, 1.0, 30.0, 1), (D1, 23.99, None, 1),
         (D2, 5.5, 7.0, 0),
     ]
-    return spark.createDataFrame(
-        rows, "date_processed date, hour_of_day double, amount double, class int"
-    )
+    return spark.createDataFrame(rows, SCHEMA)
 
 
 def test_daily_summary(stored):
@@ -31,10 +42,8 @@ def test_daily_summary(stored):
 
 
 def test_fraud_rate_is_not_rounded_to_few_digits(spark):
-    df = spark.createDataFrame(
-        [(D1, 1.0, 1.0, 1), (D1, 1.0, 1.0, 0), (D1, 1.0, 1.0, 0)],
-        "date_processed date, hour_of_day double, amount double, class int",
-    )
+    rows = [(D1, 1.0, 1.0, 1), (D1, 1.0, 1.0, 0), (D1, 1.0, 1.0, 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
     assert marts.daily_summary(marts.hour_totals(df)).first()["fraud_rate"] == 1 / 3
 
 
@@ -86,3 +95,42 @@ def test_report_prints_the_rate_as_a_percentage(spark):
 def test_report_of_an_empty_date(stored):
     text = report(marts.daily_summary_as_of(marts.hour_totals(stored), date(2030, 1, 1))).first()
     assert "Total Transactions: 0" in text["report"]
+
+
+def expected_summary(rows):
+    """The summary of some rows, computed one by one."""
+    known = [r[2] for r in rows if r[2] is not None]
+    fraud = [r for r in rows if r[3] == 1]
+    # A fraud without an amount adds nothing; all other rows add 0 to the fraud amount.
+    terms = [r[2] if r[3] == 1 else 0.0 for r in rows]
+    terms = [t for t in terms if t is not None]
+    average = lambda values: sum(values) / len(values) if values else None
+    return {
+        "total_transactions": len(rows),
+        "fraud_transactions": len(fraud),
+        "fraud_rate": len(fraud) / len(rows),
+        "total_amount": sum(known) if known else None,
+        "fraud_amount": sum(terms) if terms else None,
+        "avg_amount_normal": average([r[2] for r in rows if r[3] == 0 and r[2] is not None]),
+        "avg_amount_fraud": average([r[2] for r in fraud if r[2] is not None]),
+    }
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=ROWS)
+def test_marts_equal_brute_force(spark, rows):
+    totals = marts.hour_totals(spark.createDataFrame(rows, SCHEMA))
+    daily = {r["date_processed"]: r.asDict() for r in marts.daily_summary(totals).collect()}
+    assert set(daily) == {r[0] for r in rows}
+    for day, summary in daily.items():
+        inside = [r for r in rows if r[0] == day]
+        assert summary == pytest.approx({"date_processed": day, **expected_summary(inside)})
+    hourly = {(r["date_processed"], r["hour_of_day"]): r for r in marts.hourly_stats(totals).collect()}
+    assert set(hourly) == {(r[0], int(r[1])) for r in rows}
+    for (day, hour), stats in hourly.items():
+        inside = [r for r in rows if (r[0], int(r[1])) == (day, hour)]
+        expected = expected_summary(inside)
+        known = [r[2] for r in inside if r[2] is not None]
+        assert stats["total_transactions"] == expected["total_transactions"]
+        assert stats["fraud_rate"] == expected["fraud_rate"]
+        assert stats["avg_amount"] == (pytest.approx(sum(known) / len(known)) if known else None)

@@ -62,6 +62,11 @@ def test_describe_in_groups_equals_describing_at_once(spark):
     ]
 
 
+def test_describe_without_numbers_or_texts(spark):
+    described = profile.describe(spark.sql("SELECT timestamp'2024-01-01' AS t"))
+    assert described.columns == ["summary"] and described.count() == 5
+
+
 def test_amount_stats(spark):
     df = transactions(spark, [(0.0, 1.0, 0), (0.0, 3.0, 1), (0.0, NAN, 1), (0.0, None, 0)])
     row = profile.amount_stats(df).first()

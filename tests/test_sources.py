@@ -99,7 +99,8 @@ def test_snapshot_is_replaced_by_its_own_run_only(spark, tmp_path):
 
 
 @pytest.mark.parametrize(
-    "age_days, age_hours, kept", [(0, 0, True), (7, 0, True), (7, 23, True), (8, 0, False), (30, 0, False)]
+    "age_days, age_hours, kept",
+    [(0, 0, True), (7, 0, True), (7, 23, True), (8, 0, False), (30, 0, False)],
 )
 def test_retention_counts_whole_days(spark, age_days, age_hours, kept):
     from datetime import timedelta
