@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhawk.llm.common import ship_package, table
+from tallyhawk.llm.line_rules import line_cleaning
 from tallyhawk.llm.packing import pack
+from tallyhawk.llm.simhash import near_duplicates
 from tallyhawk.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +34,13 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_query
+def op8_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_cleaning(table(spark, sf_dir, "documents")).drop("clean_text")
+
+
+@_query
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
