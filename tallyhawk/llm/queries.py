@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyhawk.llm.common import ship_package, table
+from tallyhawk.llm.language_id import language_id
+from tallyhawk.llm.licences import licence_scan
 from tallyhawk.llm.line_rules import line_cleaning
 from tallyhawk.llm.packing import pack
 from tallyhawk.llm.simhash import near_duplicates
@@ -31,6 +34,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@_query
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -41,6 +49,11 @@ def op8_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_cleaning(table(spark, sf_dir, "documents")).drop("clean_text")
 
 
+@_query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
+
+
 @_query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
