@@ -15,6 +15,7 @@ from tallyhawk.llm.line_rules import line_cleaning
 from tallyhawk.llm.packing import pack
 from tallyhawk.llm.simhash import near_duplicates
 from tallyhawk.llm.token_counts import token_counts
+from tallyhawk.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +30,12 @@ def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
     return run
 
 
+@_query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    training = F.crc32(F.col("doc_id").cast("string")) % 3 != 1
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), training)
+
+
 @_query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
