@@ -13,6 +13,7 @@ from tallyhawk.llm.language_id import language_id
 from tallyhawk.llm.licences import licence_scan
 from tallyhawk.llm.line_rules import line_cleaning
 from tallyhawk.llm.packing import pack
+from tallyhawk.llm.repeats import without_repeats
 from tallyhawk.llm.simhash import near_duplicates
 from tallyhawk.llm.token_counts import token_counts
 from tallyhawk.llm.toxicity import toxicity
@@ -51,6 +52,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@_query
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return without_repeats(documents).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @_query
 def op8_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_cleaning(table(spark, sf_dir, "documents")).drop("clean_text")
