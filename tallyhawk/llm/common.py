@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
 from pathlib import Path
@@ -27,20 +28,31 @@ def fresh_name(taken: Iterable[str], name: str) -> str:
     return name
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """`df` with its rows in the shared checkpoint folder, so that a lost executor costs no recomputation.
-
-    The folder is that of spark.checkpoint.dir. Where neither the setting nor the context names one, as
-    in tests, it lies beside the warehouse, which executors share as well.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir. Where it is unset, as in tests, one beside the warehouse, which executors share as well."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         folder = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """`df` with its rows in the shared folder, so that a lost executor costs no recomputation."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """`df` read back from a table in the shared folder: for rows that several steps use, kept compressed.
+
+    The table lies in the folder of the context's own checkpoints; whoever empties that removes it.
+    """
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Let Spark hand this package to the executors, once for a Spark context."""
     context = spark.sparkContext

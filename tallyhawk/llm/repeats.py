@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tallyhawk.llm.common import byte_balanced, fresh_name
+from tallyhawk.llm.common import byte_balanced, fresh_name, stored
 from tallyhawk.llm.word_hashes import hash_words, mixed
 
 WINDOW = 20
@@ -123,9 +123,11 @@ def passage_claims(df: DataFrame, texts: DataFrame, shards: int, id_col: str, te
     rows = _stretch_rows(df, id_col, text_col)
     # Windows can be equal only if their marks are, so marks that occur once are left out first, by the cheapest rows.
     recurring = rows.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mark")
-    candidates = rows.join(recurring, "mark")
-    heads = candidates.groupBy("words").agg(
-        F.min(F.struct("id", "place")).alias("head"), F.count(F.lit(1)).alias("n"), F.max("mark").alias("mark")
+    candidates = stored(rows.join(recurring, "mark"))
+    heads = stored(
+        candidates.groupBy("words").agg(
+            F.min(F.struct("id", "place")).alias("head"), F.count(F.lit(1)).alias("n"), F.max("mark").alias("mark")
+        )
     )
     repeated = heads.where("n > 1").select("words", F.col("head.id").alias("head_id"), F.col("head.place").alias("head_place"))
     copies = (
