@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhawk.llm.common import ship_package, table
+from tallyhawk.llm.decontamination import benchmark_matches
 from tallyhawk.llm.language_id import language_id
 from tallyhawk.llm.licences import licence_scan
 from tallyhawk.llm.line_rules import line_cleaning
@@ -52,6 +53,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@_query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @_query
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
