@@ -10,7 +10,8 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -287,6 +288,21 @@ def benchmark_matches(
     return reduce(DataFrame.unionByName, parts[1:] or parts)
 
 
+def _holds_item(block: Broadcast, least: float, text: Column) -> Column:
+    """Whether a text holds an item of the block."""
+
+    @F.pandas_udf("boolean")
+    def holds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = Scorer(block.value, least)
+        for texts in batches:
+            found = np.zeros(len(texts), bool)
+            for i, *_ in scorer.matches([x or "" for x in texts]):
+                found[i] = True
+            yield pd.Series(found)
+
+    return holds(text)
+
+
 def without_benchmark(
     df: DataFrame,
     benchmark: DataFrame,
@@ -300,15 +316,6 @@ def without_benchmark(
     for block in _blocks(benchmark, item_col, item_text_col):
         shared = df.sparkSession.sparkContext.broadcast(block.rare(document_frequency(df, block, text_col)))
 
-        @F.pandas_udf("boolean")
-        def holds(batches: Iterator[pd.Series], shared=shared) -> Iterator[pd.Series]:
-            scorer = Scorer(shared.value, least)
-            for texts in batches:
-                found = np.zeros(len(texts), bool)
-                for text, *_ in scorer.matches([x or "" for x in texts]):
-                    found[text] = True
-                yield pd.Series(found)
-
         name = fresh_name(df.columns, "holds_item")
-        kept = kept.withColumn(name, holds(F.col(text_col))).where(~F.col(name)).drop(name)
+        kept = kept.withColumn(name, _holds_item(shared, least, F.col(text_col))).where(~F.col(name)).drop(name)
     return kept
