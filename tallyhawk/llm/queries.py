@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyhawk.llm.common import ship_package, table
 from tallyhawk.llm.decontamination import benchmark_matches
+from tallyhawk.llm.html_text import page_texts
 from tallyhawk.llm.language_id import language_id
 from tallyhawk.llm.licences import licence_scan
 from tallyhawk.llm.line_rules import line_cleaning
@@ -38,6 +39,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), training)
 
 
+@_query
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_texts(table(spark, sf_dir, "pages"))
+
+
 @_query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
