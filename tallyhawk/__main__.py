@@ -12,7 +12,7 @@ from tallyhawk.plans.daily import run_day
 from tallyhawk.plans.session import apply_settings, session_settings
 from tallyhawk.plans.store import Store
 from tallyhawk.schema import MAX_FRAUD_RATE, MIN_FRAUD_RATE, MIN_ROWS
-from tallyhawk.sources.files import source_check, source_files
+from tallyhawk.sources import storage
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -29,7 +29,7 @@ def main(arguments: list[str] | None = None) -> None:
     given = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("tallyhawk").getOrCreate()
-    size = source_check(source_files(spark, given.source)).first()["total_bytes"]
+    size = storage.content(spark, given.source).total_bytes
     apply_settings(spark, session_settings(size, spark.sparkContext.defaultParallelism))
     limits = Limits(given.min_rows, given.min_fraud_rate, given.max_fraud_rate)
     result = run_day(
@@ -44,6 +44,12 @@ def main(arguments: list[str] | None = None) -> None:
     )
     for warning in result.warnings:
         print(f"warning: {warning}")
+    print(
+        f"raw rows {result.raw_metrics['n_rows']}, null cells {result.raw_nulls}, "
+        f"removed {result.rows_removed} ({result.percent_removed:.2f} %), stored {result.rows_stored}"
+    )
+    for row in result.raw_classes:
+        print(f"raw class {row['class']}: {row['n_rows']} rows")
     print(result.report)
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhawk import functions as X
-from tallyhawk.schema import ROW_ID, original_columns
+from tallyhawk.operators.features import Moments, amount_moments, with_features
+from tallyhawk.schema import AMOUNT, ROW_ID, TIME, original_columns
 
 
 def any_missing(df: DataFrame, columns: list[str] | None = None) -> Column:
@@ -53,17 +54,23 @@ def clean(df: DataFrame) -> DataFrame:
     return drop_incomplete(drop_repeats(complete))
 
 
-def cleaning_ledger(df: DataFrame) -> DataFrame:
+def cleaning_ledger(df: DataFrame, moments: Moments | None = None) -> DataFrame:
     """One row: rows before and after cleaning, removed, percent removed.
 
-    One scan and one shuffle: the copies are counted while they are folded.
+    One scan and one shuffle: the copies are counted while they are folded. Where there
+    are times and amounts, rows must also have every engineered column to be counted as
+    kept, as in ``transform``; ``moments`` are those of the scores, by default of ``df``.
     """
     originals = original_columns(df.columns)
     folded = df.groupBy(*originals).agg(F.count(F.lit(1)).alias("copies"))
-    counts = folded.agg(
+    judged, needed = folded, originals
+    if TIME in originals and AMOUNT in originals:
+        judged = with_features(folded, amount_moments(df) if moments is None else moments)
+        needed = [c for c in judged.columns if c != "copies"]
+    counts = judged.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("rows_before"),
         F.count(F.lit(1)).alias("rows_distinct"),
-        F.count_if(~any_missing(folded, originals)).alias("rows_after"),
+        F.count_if(~any_missing(judged, needed)).alias("rows_after"),
     )
     return ledger_columns(counts)
 

@@ -28,10 +28,11 @@ Moments = DataFrame | tuple[float | None, float | None]
 
 
 def with_row_id(df: DataFrame) -> DataFrame:
-    """A unique id per row without a shuffle.
+    """A number for each row of one run, without a shuffle.
 
-    Apply it straight to a file scan: partition number and row order come from the
-    splits there, so a task that runs again gives the same ids.
+    Partition number and row order of a file scan make it, so a task that runs again
+    gives the same numbers, and another split size gives others. What is stored has
+    the key of ``with_content_key`` instead.
     """
     return df.withColumn(ROW_ID, F.monotonically_increasing_id())
 
@@ -47,6 +48,25 @@ def with_row_key(df: DataFrame, key_columns: list[str], name: str = "row_key") -
     return df.withColumn(name, F.md5(X.injective_text(*(F.col(c) for c in key_columns))))
 
 
+def with_content_key(df: DataFrame, columns: list[str], day: Column) -> DataFrame:
+    """``transaction_id``: 128 bits of the date and of the values of ``columns``, as text.
+
+    Equal in every run whatever the splits, and distinct for distinct rows of a date and
+    for dates. Apply it to rows without copies; -0.0 and 0.0, which grouping holds for
+    equal, are equal here as well.
+    """
+    values = [x for c in columns for x in (F.col(c).isNull(), _plain_zero(df, c))]
+    halves = [F.xxhash64(F.lit(seed), day, *values) for seed in (1, 2)]
+    return df.withColumn(ROW_ID, F.concat(*(F.lpad(F.lower(F.hex(h)), 16, "0") for h in halves)))
+
+
+def _plain_zero(df: DataFrame, column: str) -> Column:
+    value = F.col(column)
+    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+        return value + F.lit(0.0)
+    return value
+
+
 def with_processing_time(df: DataFrame, run_ts: datetime | None = None) -> DataFrame:
     return df.withColumn(PROCESSED_AT, X.timestamp_literal(run_ts))
 
@@ -58,8 +78,9 @@ def with_processing_date(df: DataFrame, as_of: date | None = None) -> DataFrame:
 
 
 def known(column: str) -> Column:
-    """The value where it is a number: null for NaN, which would spoil every statistic."""
-    return F.when(~F.isnan(column), F.col(column).cast("double"))
+    """The value where it is a finite number: null for NaN and infinities, which would spoil every statistic."""
+    value = F.col(column).cast("double")
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def amount_moments(df: DataFrame, column: str = AMOUNT) -> DataFrame:

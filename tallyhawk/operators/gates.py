@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhawk.schema import (
@@ -84,6 +85,21 @@ def gate_rows(
     return measured.select(F.inline(checks))
 
 
+def spread_gate(amount_stddev: float | None, spark: SparkSession) -> DataFrame:
+    """Can scores be made: a finite deviation above 0. Without one, cleaning drops every row."""
+    spread = F.lit(amount_stddev).cast("double")
+    # The bounds are the smallest and the largest positive double.
+    return spark.range(1, numPartitions=1).select(
+        F.inline(F.array(check("amount_stddev", spread, sys.float_info.min, sys.float_info.max)))
+    )
+
+
+def columns_gate(df: DataFrame, required: Iterable[str]) -> DataFrame:
+    """The column check of a table as a gate of one row, from the schema alone."""
+    one = df.sparkSession.range(1, numPartitions=1)
+    return one.select(F.inline(F.array(column_check(df.columns, required))))
+
+
 def load_gate(stored: DataFrame, summaries: DataFrame, expected_rows: Column) -> DataFrame:
     """After a load: rows stored equal rows expected, and a summary exists.
 

@@ -24,6 +24,7 @@ class RunResult:
     warnings: list[str] = field(default_factory=list)
     raw_metrics: dict = field(default_factory=dict)
     raw_gate: list[dict] = field(default_factory=list)
+    raw_classes: list[dict] = field(default_factory=list)
     rows_stored: int = 0
     load_gate: list[dict] = field(default_factory=list)
     class_distribution: list[dict] = field(default_factory=list)
@@ -32,8 +33,17 @@ class RunResult:
 
     @property
     def rows_removed(self) -> int:
+        """Rows that cleaning dropped, by the null rule over all columns."""
         return self.raw_metrics["n_rows"] - self.rows_stored
 
+    @property
+    def percent_removed(self) -> float:
+        return 100 * self.rows_removed / self.raw_metrics["n_rows"]
+
+    @property
+    def raw_nulls(self) -> int:
+        return sum(self.raw_metrics["nulls"].values())
+
 
 def run_day(
     spark: SparkSession,
@@ -45,7 +55,7 @@ def run_day(
     keep_days: int | None = None,
     rebalance: bool = False,
 ) -> RunResult:
-    """One batch from CSV files to report. Running it again gives the same state.
+    """One batch from CSV files to report. Running it again gives the same state, ids included.
 
     The CSV is parsed once, while it is landed as Parquet. One pass over that gives the
     counts for the gate and the moments for the scores. The transactions are computed
@@ -58,7 +68,11 @@ def run_day(
     result.warnings += null_warnings(result.raw_metrics)
     raw = snapshots.read_snapshot(spark, store.raw, run_ts)
     measured = metrics_row(spark, result.raw_metrics)
-    result.raw_gate = gates.enforce(gates.gate_rows(measured, raw.columns, limits))
+    gate = gates.gate_rows(measured, raw.columns, limits)
+    spread = gates.spread_gate(result.raw_metrics["amount_stddev"], spark)
+    # Nothing of the date is replaced before all of these hold.
+    result.raw_gate = gates.enforce(gate.unionByName(spread))
+    result.raw_classes = [r.asDict() for r in distribution.class_distribution(raw).collect()]
 
     moments = (result.raw_metrics["amount_mean"], result.raw_metrics["amount_stddev"])
     clean = transform(raw, run_ts, moments)
@@ -75,13 +89,13 @@ def run_day(
     result.class_distribution = [row.asDict() for row in classes]
     result.report = daily_report(spark, store, result.as_of)
     if keep_days is not None:
-        result.expired = snapshots.empty_expired(spark, store.raw, run_ts, keep_days)
+        result.expired = snapshots.delete_expired(spark, store.raw, run_ts, keep_days)
     return result
 
 
 def check_source(spark: SparkSession, source: str) -> list[str]:
     """Stop if there is no file; warn if all files together are smaller than expected."""
-    found = files.source_check(files.source_files(spark, source)).first()
+    found = files.source_check(spark, source)
     if not found["present"]:
         raise FileNotFoundError(source)
     return [f"source holds only {found['total_bytes']} bytes"] if found["small_warning"] else []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -19,6 +20,7 @@ from tallyhawk.schema import (
     TRANSACTIONS_SCHEMA,
 )
 from tallyhawk.sinks import tables
+from tallyhawk.sources import storage
 
 
 def store_transactions(
@@ -108,7 +110,20 @@ def append_absent(
     """Append the rows whose key is new.
 
     A key that repeats inside the batch or is null is an error, as it is for a primary key.
+    The batch is computed once, into a folder beside the table that goes afterwards: the
+    checks and the load see the same rows, also of a batch that differs each time.
     """
+    spark, incoming = batch.sparkSession, f"{path.rstrip('/')}__incoming_{uuid.uuid4().hex}"
+    batch.write.parquet(incoming)
+    try:
+        _append_stored(spark.read.schema(batch.schema).parquet(incoming), target, path, keys, partition_by)
+    finally:
+        storage.delete(spark, incoming)
+
+
+def _append_stored(
+    batch: DataFrame, target: DataFrame, path: str, keys: list[str], partition_by: tuple[str, ...]
+) -> None:
     checks = F.array(
         gates.check("repeated_keys", F.col("repeated_keys"), upper=0),
         gates.check("rows_without_key", F.col("rows_without_key"), upper=0),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tallyhawk.plans.views import TABLES
 from tallyhawk.schema import PCA_COLUMNS, REQUIRED_RAW
 
 _V = ", ".join(PCA_COLUMNS)
@@ -131,10 +132,15 @@ _LEDGER = """
   round((rows_before - rows_after) * 100.0 / CAST(rows_before AS DOUBLE), 4)
     AS percent_removed"""
 
-_TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings "
-    "pages benchmark labels conversations"
-).split()
+
+
+def _columns_gates(missing: int) -> str:
+    """Of transformed and of raw rows, when the raw ones lack so many of the required columns."""
+    return f"""WITH {_WIDE}, d AS (SELECT DISTINCT * FROM txn)
+        SELECT 'made' AS table_name, CAST(0 AS DOUBLE) AS observed, TRUE AS passed,
+          count(*) AS n_rows FROM d
+        UNION ALL SELECT 'raw', CAST({missing} AS DOUBLE), FALSE, count(*) FROM txn"""
+
 
 ORACLES: dict[str, str] = {
     "features": f"WITH {_EVENTS}, {_MOMENTS} SELECT transaction_id, {_FEATURES} FROM txn, m",
@@ -234,13 +240,17 @@ ORACLES: dict[str, str] = {
     "quality_gates": _gates(_EVENTS, 0, 500, 0.1),
     "wide_quality_gates": _gates(_WIDE, 0, 100, 0.5),
     "incomplete_columns_gate": _gates(_LINES, 28, 500, 0.1),
-    "load_validation": f"""WITH {_WIDE}, d AS (SELECT DISTINCT * FROM txn)
-        SELECT 'stored_rows' AS check_name, CAST(count(*) AS DOUBLE) AS observed,
+    "load_validation": f"""WITH {_WIDE}, d AS (SELECT DISTINCT * FROM txn),
+        c AS (SELECT count(*) AS n_written, count(*) FILTER (Class = 1) AS n_fraud,
+          round(sum(Amount), 2) AS total_amount, count(*) - (SELECT count(*) FROM d) AS apart,
+          (SELECT count(*) FROM (SELECT 1 FROM d HAVING count(*) >= 0)) AS summaries FROM d)
+        SELECT 'stored_rows' AS check_name, CAST(n_written AS DOUBLE) AS observed,
           CAST(1 AS DOUBLE) AS lower_bound, CAST(NULL AS DOUBLE) AS upper_bound,
-          count(*) >= 1 AS passed FROM d
-        UNION ALL SELECT 'stored_minus_expected', CAST(0 AS DOUBLE), CAST(0 AS DOUBLE),
-          CAST(0 AS DOUBLE), TRUE
-        UNION ALL SELECT 'summary_rows', CAST(1 AS DOUBLE), CAST(1 AS DOUBLE), NULL, TRUE""",
+          n_written >= 1 AS passed, n_written, n_fraud, total_amount FROM c
+        UNION ALL SELECT 'stored_minus_expected', CAST(apart AS DOUBLE), CAST(0 AS DOUBLE),
+          CAST(0 AS DOUBLE), apart = 0, n_written, n_fraud, total_amount FROM c
+        UNION ALL SELECT 'summary_rows', CAST(summaries AS DOUBLE), CAST(1 AS DOUBLE), NULL,
+          summaries >= 1, n_written, n_fraud, total_amount FROM c""",
     "stored_columns": f"""WITH {_WIDE}
         SELECT Time AS time_seconds, {", ".join(f"{v} AS {v.lower()}" for v in PCA_COLUMNS)},
           Amount AS amount, Class AS class FROM txn""",
@@ -272,7 +282,19 @@ ORACLES: dict[str, str] = {
     "snapshot_retention": """SELECT strftime(CAST(ts AS DATE), '%Y%m%d_000000') AS snapshot,
           count(*) AS n_rows
         FROM events WHERE CAST(ts AS DATE) > DATE '2024-01-31' - INTERVAL 8 DAY GROUP BY 1""",
+    "retention_removal": """SELECT strftime(CAST(ts AS DATE), '%Y%m%d_000000') AS snapshot,
+          count(*) AS n_rows
+        FROM events WHERE CAST(ts AS DATE) > DATE '2024-01-31' - INTERVAL 8 DAY GROUP BY 1""",
     "source_files": " UNION ALL ".join(
-        f"SELECT '{t}.parquet' AS file_name, count(*) > 0 AS present FROM {t}" for t in _TABLES
+        f"SELECT '{t}.parquet' AS file_name, count(*) AS n_rows FROM {t}" for t in TABLES
     ),
+    "stored_keys": f"""WITH {_WIDE}, d AS (SELECT DISTINCT * FROM txn)
+        SELECT 2 * count(*) AS n_rows, 2 * count(*) AS n_keys FROM d""",
+    "daily_run": f"""WITH {_WIDE}, d AS (SELECT DISTINCT * FROM txn)
+        SELECT Class AS class, count(*) AS n_rows, (SELECT count(*) FROM d) AS total_transactions,
+          (SELECT count(*) FROM d WHERE Class = 1) AS fraud_transactions,
+          (SELECT round(sum(Amount), 2) FROM d) AS total_amount
+        FROM d GROUP BY Class""",
+    "engineered_columns_gate": _columns_gates(4),
+    "stored_columns_gate": _columns_gates(2),
 }

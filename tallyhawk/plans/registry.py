@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyhawk.operators import cleaning, distribution, features, gates, loading, marts, profile
 from tallyhawk.operators.report import report
 from tallyhawk.plans import load, views
+from tallyhawk.plans.daily import run_day
 from tallyhawk.plans.session import scratch_folder
 from tallyhawk.plans.store import Store
 from tallyhawk.plans.transform import transform
@@ -25,7 +27,9 @@ from tallyhawk.schema import (
     DAY,
     HOUR,
     PROCESSED_AT,
+    REQUIRED_ENGINEERED,
     REQUIRED_RAW,
+    REQUIRED_STORED,
     ROW_ID,
     TIME,
     ZSCORE,
@@ -264,7 +268,12 @@ def load_validation(spark, sf_dir):
     stored = load.stored_transactions(spark, store, RUN_TS.date())
     load.load_marts(stored, store, RUN_TS)
     summaries = marts.on_date(load.daily_mart(spark, store), RUN_TS.date())
-    return gates.load_gate(stored, summaries, F.lit(written))
+    gate = gates.load_gate(stored, summaries, F.lit(written))
+    # Beside the verdicts, what was stored: rows, rows of class 1, and the summary's amount.
+    amount = summaries.select("total_amount").scalar()
+    fraud = stored.agg(F.count_if(F.col("class") == 1).alias("n")).scalar()
+    rows = gate.select("*", F.lit(written).cast("bigint").alias("n_written"), fraud.alias("n_fraud"), amount.alias("total_amount"))
+    return rounded(rows, total_amount=2)
 
 
 # --- loading and keys --------------------------------------------------------
@@ -342,12 +351,17 @@ def statistics_csv(spark, sf_dir):
 def partition_refresh(spark, sf_dir):
     """All dates, one of them twice, the second time with other numbers; a re-run."""
     path = scratch_folder(spark)
-    totals = marts.hour_totals(views.stored_events(spark, sf_dir))
-    daily = marts.daily_summary(totals)
-    tables.refresh_dates(daily, path)
-    again = marts.on_date(daily, AS_OF).withColumn("total_transactions", F.lit(0).cast("bigint"))
-    for _ in range(2):
-        tables.refresh_dates(again, path)
+    # 24 rows per date at most, kept for the writes as the marts of a run are.
+    totals = marts.hour_totals(views.stored_events(spark, sf_dir)).persist()
+    try:
+        daily = marts.daily_summary(totals)
+        tables.refresh_dates(daily, path)
+        zero = F.lit(0).cast("bigint")
+        again = marts.on_date(daily, AS_OF).withColumn("total_transactions", zero)
+        for _ in range(2):
+            tables.refresh_dates(again, path)
+    finally:
+        totals.unpersist()
     return _rounded_summary(files.read_parquet(spark, path))
 
 
@@ -368,7 +382,10 @@ def declared_table(spark, sf_dir):
     )
     tables.refresh_dates(daily, f"{path}/fraud_summary")
     schema, partitions = tables.STORED_TABLES["fraud_summary"]
-    name = f"fraud_summary_{path[-12:]}"
+    # One entry in the catalog, whatever the number of calls.
+    spark.sql("CREATE DATABASE IF NOT EXISTS tallyhawk_scratch")
+    name = "tallyhawk_scratch.fraud_summary"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
     tables.create_table(spark, name, schema, f"{path}/fraud_summary", partitions)
     spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     return _rounded_summary(spark.table(name).drop(CREATED_AT))
@@ -394,10 +411,69 @@ def snapshot_retention(spark, sf_dir):
     return kept.groupBy(snapshots.SNAPSHOT).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def retention_removal(spark, sf_dir):
+    """One snapshot per event date; the expired ones removed, twice; all that is left read."""
+    root = scratch_folder(spark)
+    events = views.event_transactions(spark, sf_dir)
+    labelled = events.withColumn(snapshots.SNAPSHOT, F.date_format(DATE, "yyyyMMdd_HHmmss"))
+    labelled.write.partitionBy(snapshots.SNAPSHOT).parquet(root)
+    for _ in range(2):
+        snapshots.delete_expired(spark, root, datetime(2024, 1, 31))
+    left = snapshots.read_snapshots(spark, root)
+    return left.groupBy(snapshots.SNAPSHOT).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def source_files(spark, sf_dir):
-    """The table files that are there, by name."""
-    found = files.source_files(spark, sf_dir)
-    return found.groupBy("file_name").agg((F.sum("bytes") > 0).alias("present"))
+    """The files of all given tables with their rows."""
+    counted = (files.rows_per_file(views.table(spark, sf_dir, name)) for name in views.TABLES)
+    return reduce(DataFrame.unionByName, counted)
+
+
+def stored_keys(spark, sf_dir):
+    """Two dates of the same batch in one store: rows, and distinct keys."""
+    store = Store(scratch_folder(spark))
+    wide = views.wide_transactions(spark, sf_dir)
+    for run_ts in (RUN_TS, RUN_TS + timedelta(days=1)):
+        load.store_transactions(transform(wide, run_ts), store, run_ts)
+    stored = files.read_parquet(spark, store.transactions)
+    return stored.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(ROW_ID).alias("n_keys"))
+
+
+def daily_run(spark, sf_dir):
+    """The whole run from CSV: stored rows by class, with the totals of the day's summary."""
+    store = Store(scratch_folder(spark))
+    tables.write_csv(views.wide_transactions(spark, sf_dir), f"{store.root}/in")
+    run_day(spark, f"{store.root}/in", store, RUN_TS, WIDE_LIMITS)
+    by_class = distribution.class_counts(load.stored_transactions(spark, store, RUN_TS.date()), "class")
+    summary = load.daily_mart(spark, store).select("total_transactions", "fraud_transactions", "total_amount")
+    return rounded(
+        by_class.select("*", *(summary.select(c).scalar().alias(c) for c in summary.columns)), total_amount=2
+    )
+
+
+def engineered_columns_gate(spark, sf_dir):
+    """Q4 on transformed rows, and on raw ones, which lack four columns."""
+    wide = views.wide_transactions(spark, sf_dir)
+    return _columns_gates(transform(wide, RUN_TS), wide, REQUIRED_ENGINEERED)
+
+
+def stored_columns_gate(spark, sf_dir):
+    """Q5 on rows under their stored names, and on raw ones."""
+    wide = views.wide_transactions(spark, sf_dir)
+    return _columns_gates(loading.as_stored(transform(wide, RUN_TS), RUN_TS), wide, REQUIRED_STORED)
+
+
+def _columns_gates(good: DataFrame, raw: DataFrame, required: tuple[str, ...]) -> DataFrame:
+    """Both gates, with the rows of the table that each was asked about."""
+    parts = []
+    for table_name, df in (("made", good), ("raw", raw)):
+        rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+        parts.append(
+            gates.columns_gate(df, required).select(
+                F.lit(table_name).alias("table_name"), "observed", "passed", rows.alias("n_rows")
+            )
+        )
+    return parts[0].unionByName(parts[1])
 
 
 QUERIES: dict[str, Query] = {
@@ -452,5 +528,10 @@ QUERIES: dict[str, Query] = {
     "declared_table": declared_table,
     "latest_snapshot": latest_snapshot,
     "snapshot_retention": snapshot_retention,
+    "retention_removal": retention_removal,
     "source_files": source_files,
+    "stored_keys": stored_keys,
+    "daily_run": daily_run,
+    "engineered_columns_gate": engineered_columns_gate,
+    "stored_columns_gate": stored_columns_gate,
 }

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -14,22 +13,19 @@ GIB = 1024 * MIB
 def session_settings(input_bytes: int, cores: int = 8) -> dict[str, str]:
     """Settings for a batch of ``input_bytes``, to pass to a session builder.
 
-    A reduce partition aims at 256 MiB for small batches and at 1 GiB for huge ones (a
-    hash aggregate that outgrows memory spills), so that map and reduce tasks do not
-    multiply into more shuffle blocks than a driver can track. Adaptive execution then
-    merges what turned out small.
+    A reducer for each GiB, and one per core at least, so that map and reduce tasks do
+    not multiply into more shuffle blocks than a driver can track; a hash aggregate that
+    outgrows memory spills. Adaptive execution merges what turned out small. Splits
+    stay at Spark's own size, which it lowers by itself for small inputs.
     """
-    per_reducer = 256 * MIB if input_bytes < 10 * 1024 * GIB else GIB
-    per_scan_task = 128 * MIB if input_bytes < 10 * 1024 * GIB else 512 * MIB
-    reducers = max(cores, -(-input_bytes // per_reducer))
+    reducers = max(cores, -(-input_bytes // GIB))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(per_reducer),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MIB),
         "spark.sql.shuffle.partitions": str(reducers),
-        "spark.sql.files.maxPartitionBytes": str(per_scan_task),
         "spark.sql.session.timeZone": "UTC",
     }
 
@@ -41,15 +37,12 @@ def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder name in the shared space that the cluster names for checkpoints.
+    """A new folder name in space that all executors share; the caller removes it after use.
 
-    Only a local session without that setting falls back to this machine's disk.
+    That is the folder of spark.checkpoint.dir or of the context's checkpoints, and
+    without either one in the warehouse.
     """
-    context = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="run-")
-        context.setCheckpointDir(shared)
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     return f"{shared}/tallyhawk-{uuid.uuid4().hex}"

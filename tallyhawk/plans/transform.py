@@ -5,17 +5,19 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyhawk.operators import distribution, profile
 from tallyhawk.operators.cleaning import clean, drop_incomplete
 from tallyhawk.operators.features import (
     Moments,
     amount_moments,
+    with_content_key,
     with_features,
     with_processing_time,
     with_row_id,
 )
-from tallyhawk.schema import ROW_ID
+from tallyhawk.schema import PROCESSED_AT, ROW_ID, original_columns
 from tallyhawk.sinks import tables
 from tallyhawk.sources import files
 
@@ -27,13 +29,21 @@ def transform(
 
     Scores use the moments of all raw rows, copies included. The features depend on the
     original columns alone, so they are computed after the shuffle that removes copies:
-    only the raw columns and the id travel. Rows without a score (no spread in the
-    amounts) leave at the end, as any row with a null does.
+    only the raw columns travel. Rows without a score (no spread in the amounts) leave
+    at the end, as any row with a null does.
+
+    A row's id is made of the date of the run and its own values, unless the rows bring
+    ids. The date is that of ``run_ts``, or of the current time.
     """
     moments = amount_moments(raw) if moments is None else moments
+    # The number of a row in this run says which copy stays, and keeps Spark from pushing the
+    # filter over all columns below computed ones, where its constraints would double with each.
     identified = raw if ROW_ID in raw.columns else with_row_id(raw)
-    featured = with_features(clean(identified), moments)
-    return drop_incomplete(with_processing_time(featured, run_ts))
+    featured = with_processing_time(with_features(clean(identified), moments), run_ts)
+    complete = drop_incomplete(featured)
+    if ROW_ID in raw.columns:
+        return complete
+    return with_content_key(complete, original_columns(raw.columns), F.to_date(PROCESSED_AT))
 
 
 def save_processed(

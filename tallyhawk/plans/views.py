@@ -9,6 +9,13 @@ from tallyhawk.schema import AMOUNT, CLASS, DATE, HOUR, PCA_COLUMNS, ROW_ID, TIM
 from tallyhawk import functions as X
 
 
+#: The given tables.
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -36,7 +36,7 @@ RAW_SCHEMA = T.StructType(
 
 ENGINEERED_SCHEMA = T.StructType(
     [
-        T.StructField(ROW_ID, T.LongType()),
+        T.StructField(ROW_ID, T.StringType()),
         T.StructField(PROCESSED_AT, T.TimestampType()),
         T.StructField(AMOUNT_LOG, T.DoubleType()),
         T.StructField(HOUR, T.DoubleType()),
@@ -51,7 +51,7 @@ PROCESSED_SCHEMA = T.StructType(RAW_SCHEMA.fields + ENGINEERED_SCHEMA.fields)
 # Partition columns come last, as Spark returns them from a partitioned table.
 TRANSACTIONS_SCHEMA = T.StructType(
     [
-        T.StructField(ROW_ID, T.LongType()),
+        T.StructField(ROW_ID, T.StringType()),
         T.StructField("time_seconds", T.DoubleType()),
         *(T.StructField(name.lower(), T.DoubleType()) for name in PCA_COLUMNS),
         T.StructField("amount", T.DoubleType()),

@@ -124,9 +124,10 @@ def create_table(
 ) -> None:
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     split = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in partitions)})" if partitions else ""
+    quoted = location.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {split} "
-        f"LOCATION '{location}'"
+        f"LOCATION '{quoted}'"
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhawk.schema import MIN_SOURCE_BYTES, PROCESSED_SCHEMA, RAW_SCHEMA
+from tallyhawk.sources import storage
 
 
 def header_schema(names: list[str], known: T.StructType = RAW_SCHEMA) -> T.StructType:
@@ -67,27 +68,22 @@ def read_jdbc(
     )
 
 
-def source_files(spark: SparkSession, *paths: str) -> DataFrame:
-    """(file_name, bytes) per file, from file metadata: no content is opened.
+def source_check(spark: SparkSession, path: str, min_bytes: int = MIN_SOURCE_BYTES) -> dict:
+    """Are there files, how many, how many bytes, and is that below the expected floor.
 
-    A path that does not exist fails here.
+    From the file system's summary, without a job. Absence is an error for the caller
+    to raise; a small size is only a warning.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    return files.load(list(paths)).select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        F.col("length").alias("bytes"),
-    )
-
-
-def source_check(files: DataFrame, min_bytes: int = MIN_SOURCE_BYTES) -> DataFrame:
-    """One row: are there files, how many bytes, and is that below the expected floor.
-
-    Absence is an error for the caller to raise; a small size is only a warning.
-    """
-    total = F.coalesce(F.sum("bytes"), F.lit(0))
-    return files.agg(
-        F.count(F.lit(1)).alias("n_files"),
-        total.alias("total_bytes"),
-        (F.count(F.lit(1)) > 0).alias("present"),
-        (total < min_bytes).alias("small_warning"),
-    )
+    found = storage.content(spark, path)
+    return {
+        "present": found.present,
+        "n_files": found.n_files,
+        "total_bytes": found.total_bytes,
+        "small_warning": found.total_bytes < min_bytes,
+    }
+
+
+def rows_per_file(df: DataFrame) -> DataFrame:
+    """(file_name, n_rows) of a stored table; for Parquet the footers answer."""
+    named = df.select(F.col("_metadata.file_name").alias("file_name"))
+    return named.groupBy("file_name").agg(F.count(F.lit(1)).alias("n_rows"))

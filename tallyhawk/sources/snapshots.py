@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhawk.schema import SNAPSHOT_KEEP_DAYS
+from tallyhawk.sources import storage
 
 SNAPSHOT = "snapshot"
 LABEL_FORMAT = "%Y%m%d_%H%M%S"  # fixed value; sorts in time order as text
@@ -51,30 +52,20 @@ def retained(
 
 def expired_labels(
     spark: SparkSession, root: str, as_of: datetime, keep_days: int = SNAPSHOT_KEEP_DAYS
-) -> DataFrame:
-    """(snapshot) of each expired run, from the file listing alone."""
-    listed = (
-        spark.read.format("binaryFile")
-        .option("basePath", root)
-        .option("pathGlobFilter", "*.parquet")
-        .load(root)
-        .where(F.col("length") > 0)
-        .select(F.col(SNAPSHOT).cast("string").alias(SNAPSHOT))
-    )
-    return listed.where(F.col(SNAPSHOT) <= oldest_kept_label(as_of, keep_days)).distinct()
-
-
-def empty_expired(
-    spark: SparkSession, root: str, as_of: datetime, keep_days: int = SNAPSHOT_KEEP_DAYS
 ) -> list[str]:
-    """Free the space of expired snapshots by overwriting each with no rows.
+    """The label of each expired run that is still there: a listing of one folder, a name per run."""
+    prefix = f"{SNAPSHOT}="
+    names = storage.child_folders(spark, root)
+    labels = (name.removeprefix(prefix) for name in names if name.startswith(prefix))
+    oldest = oldest_kept_label(as_of, keep_days)
+    return sorted(label for label in labels if label <= oldest)
+
 
-    The loop is over runs, one per day, never over rows; nothing kept is rewritten.
-    """
-    rows = expired_labels(spark, root, as_of, keep_days).collect()
-    labels = sorted(row[SNAPSHOT] for row in rows)
+def delete_expired(
+    spark: SparkSession, root: str, as_of: datetime, keep_days: int = SNAPSHOT_KEEP_DAYS
+) -> list[str]:
+    """Remove expired snapshots; returns their labels. A second call finds none."""
+    labels = expired_labels(spark, root, as_of, keep_days)
     for label in labels:
-        path = f"{root}/{SNAPSHOT}={label}"
-        empty = spark.createDataFrame([], spark.read.parquet(path).schema)
-        empty.write.mode("overwrite").parquet(path)
+        storage.delete(spark, f"{root}/{SNAPSHOT}={label}")
     return labels

@@ -42,5 +42,5 @@ def write_raw_csv(path, rows):
     with path.open("w") as out:
         out.write(",".join(RAW_SCHEMA.fieldNames()) + "\n")
         for row in rows:
-            out.write(",".join("" if cell is None else repr(cell) for cell in row) + "\n")
+            out.write(",".join("" if cell is None else repr(cell).replace("inf", "Inf") for cell in row) + "\n")
     return str(path.parent)

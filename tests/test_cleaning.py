@@ -8,7 +8,8 @@ from tallyhawk.operators import cleaning, features
 from tallyhawk.plans.transform import transform
 from tests.rows import NAN, raw_frame, raw_row, transactions
 
-CELLS = st.sampled_from([0.0, -0.0, 1.5, 60.0, 2000.0, NAN, None])
+INF = float("inf")
+CELLS = st.sampled_from([0.0, -0.0, 1.5, 60.0, 2000.0, NAN, INF, None])
 ROWS = st.lists(st.tuples(CELLS, CELLS, st.sampled_from([0, 1, None])), min_size=1, max_size=12)
 
 
@@ -61,12 +62,20 @@ def test_clean_and_ledger_equal_brute_force(spark, rows):
     cleaned = cleaning.clean(features.with_row_id(df)).drop("transaction_id").collect()
     assert sorted(tuple(map(plain, row)) for row in cleaned) == sorted(complete)
 
-    ledger = cleaning.cleaning_ledger(df).first().asDict()
-    assert ledger["rows_before"] == len(rows)
-    assert ledger["rows_distinct"] == len(distinct)
-    assert ledger["rows_after"] == len(complete)
-    assert ledger["rows_removed"] == len(rows) - len(complete)
-    assert ledger["percent_removed"] == pytest.approx(100 * (1 - len(complete) / len(rows)))
+    # Without times and amounts only the originals count, with them what the transform keeps.
+    plain_names = df.toDF("a", "b", "c")
+    for frame, kept in ((plain_names, len(complete)), (df, transform(df).count())):
+        ledger = cleaning.cleaning_ledger(frame).first().asDict()
+        assert ledger["rows_before"] == len(rows)
+        assert ledger["rows_distinct"] == len(distinct)
+        assert ledger["rows_after"] == kept
+        assert ledger["rows_removed"] == len(rows) - kept
+        assert ledger["percent_removed"] == pytest.approx(100 * (1 - kept / len(rows)))
+
+
+def test_ledger_of_equal_amounts_is_that_of_the_transform(spark):
+    df = transactions(spark, [(float(i), 5.0, 0) for i in range(10)])
+    assert cleaning.cleaning_ledger(df).first()["rows_after"] == transform(df).count() == 0
 
 
 def test_ledger_of_nothing(spark):

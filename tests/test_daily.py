@@ -159,7 +159,7 @@ def test_missing_columns_stop_before_landing(spark, tmp_path):
 
 
 def test_missing_source_and_missing_summary(spark, run, tmp_path):
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+    with pytest.raises(FileNotFoundError):
         daily.check_source(spark, str(tmp_path / "absent"))
     with pytest.raises(LookupError):
         daily.daily_report(spark, run[1], datetime(2030, 1, 1).date())
@@ -209,4 +209,60 @@ def test_settings_follow_the_input_size():
     small, huge = session_settings(1 << 30), session_settings(100 << 40)
     assert int(small["spark.sql.shuffle.partitions"]) == 8
     assert int(huge["spark.sql.shuffle.partitions"]) == 100 * 1024
-    assert int(huge["spark.sql.files.maxPartitionBytes"]) == 512 << 20
+    same = set(small) - {"spark.sql.shuffle.partitions"}
+    assert {k: small[k] for k in same} == {k: huge[k] for k in same}
+
+
+def test_ids_do_not_depend_on_the_splits(spark, tmp_path):
+    source = write_raw_csv(tmp_path / "in" / "a.csv", ROWS + COPIES)
+    ids, key = [], "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        for size in ("128m", "40k"):
+            spark.conf.set(key, size)
+            store = Store(str(tmp_path / size))
+            daily.run_day(spark, source, store, RUN, LIMITS)
+            rows = load.stored_transactions(spark, store, RUN.date())
+            ids.append({(r["time_seconds"], r["v1"]): r["transaction_id"] for r in rows.collect()})
+    finally:
+        spark.conf.set(key, before)
+    assert ids[0] == ids[1] and len(set(ids[0].values())) == len(set(ROWS))
+
+
+def test_ids_of_another_date_are_others(spark, run):
+    _, store, _ = run
+    stored = spark.read.schema(TRANSACTIONS_SCHEMA).parquet(store.transactions)
+    assert stored.select("transaction_id").distinct().count() == stored.count()
+
+
+INF = float("inf")
+
+
+@pytest.mark.parametrize(
+    "amounts, stops",
+    [([1.0] * 1500, True), ([INF, *[r[29] for r in ROWS[1:]]], False), ([None] * 1500, True)],
+)
+def test_a_batch_without_scores_leaves_the_stored_date(spark, tmp_path, amounts, stops):
+    store = Store(str(tmp_path / "out"))
+    good = write_raw_csv(tmp_path / "good" / "a.csv", ROWS)
+    daily.run_day(spark, good, store, RUN, LIMITS)
+    before = contents(spark, store)
+    odd = [(*r[:29], amount, r[30]) for r, amount in zip(ROWS, amounts, strict=True)]
+    text = write_raw_csv(tmp_path / "odd" / "a.csv", odd)
+    if stops:
+        with pytest.raises(gates.GateFailed, match="amount_stddev"):
+            daily.run_day(spark, text, store, RUN, LIMITS)
+        assert contents(spark, store) == before
+    else:
+        result = daily.run_day(spark, text, store, RUN, LIMITS)
+        assert result.rows_stored == len(set(odd))
+
+
+def test_the_account_of_the_raw_batch(run):
+    result = run[2]
+    raw = ROWS + COPIES + INCOMPLETE
+    assert result.raw_nulls == 2
+    assert {r["class"]: r["n_rows"] for r in result.raw_classes} == {
+        c: sum(r[30] == c for r in raw) for c in (0, 1)
+    }
+    assert result.percent_removed == pytest.approx(100 * (len(COPIES) + len(INCOMPLETE)) / len(raw))

@@ -66,6 +66,20 @@ def test_append_absent_twice_adds_nothing(spark, tmp_path):
         assert sorted(r["id"] for r in files.read_parquet(spark, path).collect()) == list(range(100))
 
 
+def test_append_absent_computes_a_batch_once(spark, tmp_path):
+    """Random keys differ in each computation; those that were checked are those that are stored."""
+    from pyspark.sql import functions as F
+
+    path = str(tmp_path / "t")
+    spark.range(1).select(F.lit(-1.0).alias("id")).write.parquet(path)
+    computed = spark.sparkContext.accumulator(0)
+    once = F.udf(lambda i: computed.add(1) or float(i), "double").asNondeterministic()
+    load.append_absent(spark.range(50).select(once("id").alias("id")), files.read_parquet(spark, path), path, ["id"])
+    assert computed.value == 50
+    assert files.read_parquet(spark, path).count() == 51
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
 @pytest.mark.parametrize(
     "keys, fault", [([1, 2, 2], "repeated_keys"), ([1, None, 2], "rows_without_key")]
 )

@@ -124,34 +124,37 @@ def test_scratch_is_shared_and_fresh(spark):
     assert first.startswith(shared) and first != second
 
 
-@pytest.mark.parametrize("master, allowed", [("local[2]", True), ("yarn", False)])
-def test_only_local_sessions_fall_back_to_local_disk(master, allowed):
+def test_scratch_without_a_setting_lies_in_the_warehouse():
+    class Conf:
+        @staticmethod
+        def get(key, default=None):
+            return "hdfs:/warehouse" if key == "spark.sql.warehouse.dir" else default
+
     class Context:
-        def __init__(self):
-            self.master, self.folder = master, None
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Session:
+        sparkContext, conf = Context, Conf
 
-        def getCheckpointDir(self):
-            return self.folder
+    assert scratch_folder(Session).startswith("hdfs:/warehouse/_scratch/tallyhawk-")
 
-        def setCheckpointDir(self, folder):
-            self.folder = folder
 
-    class Session:
-        sparkContext = Context()
-
-        class conf:
-            @staticmethod
-            def get(key, default):
-                return default
-
-    session = Session()
-    if allowed:
-        folder = scratch_folder(session)
-        assert folder.startswith(session.sparkContext.folder)
-        assert scratch_folder(session).startswith(session.sparkContext.folder)
-    else:
-        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-            scratch_folder(session)
+def test_declaring_a_table_twice_leaves_one_entry(spark):
+    from tallyhawk.plans.registry import QUERIES
+
+    for _ in range(2):
+        QUERIES["declared_table"](spark, "/root/testdata/sf0.001")
+    assert [t.name for t in spark.catalog.listTables("tallyhawk_scratch")] == ["fraud_summary"]
+
+
+def test_a_location_may_hold_quotes(spark, tmp_path):
+    path = str(tmp_path / "it's")
+    spark.range(3).write.parquet(path)
+    tables.create_table(spark, "default.quoted", spark.range(1).schema, path)
+    assert spark.table("default.quoted").count() == 3
+    spark.sql("DROP TABLE default.quoted")
 
 
 def test_plain_append(spark, tmp_path):

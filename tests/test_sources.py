@@ -63,27 +63,26 @@ def test_inference_on_request(spark, tmp_path):
     assert [f.dataType.simpleString() for f in inferred.schema] == ["int", "double", "int"]
 
 
-def test_source_files_report_sizes_without_reading(spark, tmp_path):
+def test_source_check_sums_files_without_a_job(spark, tmp_path):
     path = lines(tmp_path / "in" / "a.csv", "Time,Amount,Class", "1,2,0")
     lines(tmp_path / "in" / "b.csv", "Time,Amount,Class")
-    found = files.source_files(spark, path)
-    assert {r["file_name"]: r["bytes"] for r in found.collect()} == {
-        name: os.path.getsize(f"{path}/{name}") for name in ("a.csv", "b.csv")
-    }
-    assert "content" not in found._jdf.queryExecution().executedPlan().toString()
+    check = files.source_check(spark, path)
+    assert check["present"] and check["small_warning"] and check["n_files"] == 2
+    assert check["total_bytes"] == sum(os.path.getsize(f"{path}/{n}") for n in ("a.csv", "b.csv"))
+    assert not files.source_check(spark, path, min_bytes=10)["small_warning"]
 
 
-def test_source_check(spark, tmp_path):
-    path = lines(tmp_path / "in" / "a.csv", "Time,Amount,Class", "1,2,0")
-    check = files.source_check(files.source_files(spark, path)).first()
-    assert check["present"] and check["small_warning"] and check["n_files"] == 1
-    big = files.source_check(files.source_files(spark, path), min_bytes=10).first()
-    assert not big["small_warning"]
+def test_an_absent_source_is_not_present(spark, tmp_path):
+    check = files.source_check(spark, str(tmp_path / "absent"))
+    assert not check["present"] and check["n_files"] == check["total_bytes"] == 0
 
 
-def test_missing_source_fails(spark, tmp_path):
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        files.source_files(spark, str(tmp_path / "absent"))
+def test_rows_per_file(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(0, 10, numPartitions=2).write.parquet(path)
+    rows = files.rows_per_file(spark.read.parquet(path)).collect()
+    assert sorted(r["n_rows"] for r in rows) == [5, 5]
+    assert {r["file_name"] for r in rows} == {n for n in os.listdir(path) if n.startswith("part-")}
 
 
 def test_snapshot_is_replaced_by_its_own_run_only(spark, tmp_path):
@@ -110,14 +109,15 @@ def test_retention_counts_whole_days(spark, age_days, age_hours, kept):
     assert snapshots.retained(df, RUN).count() == int(kept)
 
 
-def test_expired_snapshots_are_emptied_and_others_untouched(spark, tmp_path):
+def test_expired_snapshots_are_removed_and_others_untouched(spark, tmp_path):
     root = str(tmp_path / "raw")
     old, new = datetime(2024, 1, 1), datetime(2024, 1, 19)
     for run in (old, new):
         snapshots.land_snapshot(raw_frame(spark, random_raw_rows(20)), root, run)
     kept_files = sorted(os.listdir(snapshots.snapshot_path(root, new)))
-    assert snapshots.empty_expired(spark, root, RUN) == ["20240101_000000"]
-    assert snapshots.read_snapshot(spark, root, old).count() == 0
+    assert snapshots.delete_expired(spark, root, RUN) == ["20240101_000000"]
+    assert snapshots.delete_expired(spark, root, RUN) == []
+    assert not os.path.exists(snapshots.snapshot_path(root, old))
     assert snapshots.read_snapshot(spark, root, new).count() == 20
     assert sorted(os.listdir(snapshots.snapshot_path(root, new))) == kept_files
     assert snapshots.retained(snapshots.read_snapshots(spark, root), RUN).count() == 20
