@@ -11,6 +11,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that one step of a batch function works on.
 BATCH_BYTES = 4 << 20
@@ -68,6 +69,19 @@ def ship_package(spark: SparkSession) -> None:
     context._tallyhawk_shipped = True
 
 
+def lowest_hashes(df: DataFrame, k: int, *columns: str) -> DataFrame:
+    """The `k` rows of `df` with the lowest hash of `columns`: a sample that any order of the rows gives.
+
+    Rows whose hash can't be among the lowest stay in their tasks, so that about 2 k reach the driver's
+    selection from all tasks together, however many there are. In the odd case that fewer pass, fewer return.
+    """
+    n = df.count()
+    share = min(1.0, (2 * k + 100) / max(n, 1))
+    highest = min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))
+    code = F.xxhash64(*columns)
+    return df.where(code <= highest).orderBy(code, *columns).limit(k)
+
+
 def byte_balanced(texts: list[str], limit: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
     """Bounds of consecutive slices of about `limit` characters; a longer text is a slice of its own."""
     start = size = 0

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhawk.llm.common import byte_balanced
+from tallyhawk.llm.common import byte_balanced, lowest_hashes
 
 # HTML elements by what they do to the text around them.
 BLOCK_TAGS = frozenset(
@@ -49,7 +49,7 @@ TRAIN_BLOCKS = 64
 #: Padded blocks that a step of prediction holds.
 STEP_BLOCKS = 1 << 15
 
-_TAG = re.compile(r"<(?:!--|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*?)>|[!?][^>]*>|(?=/?[a-zA-Z!?][^>]*\Z))")
+_TAG = re.compile(r"<(?:!--|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>|[!?][^>]*>|(?=/?[a-zA-Z!?][^>]*\Z))")
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PART = re.compile(r"[a-z]+")
 
@@ -348,7 +348,7 @@ def made_pages(texts: list[str], n: int = MADE_PAGES, seed: int = 1) -> list[tup
 
 def fit_labeller(pages: DataFrame, id_col: str, html_col: str, sample: int = SAMPLE_PAGES) -> Labeller:
     """A labeller from made pages and from `sample` pages of the table, labelled by the names of their containers."""
-    chosen = pages.where(F.col(html_col).isNotNull()).orderBy(F.xxhash64(id_col), F.xxhash64(html_col)).select(html_col).limit(sample)
+    chosen = lowest_hashes(pages.where(F.col(html_col).isNotNull()).select(id_col, html_col), sample, id_col, html_col).select(html_col)
     parsed = [b for b in (blocks_of(row[0]) for row in chosen.collect()) if b]
     examples = [(b, [silver_label(x) for x in b]) for b in parsed]
     examples += made_pages([x.text for b in parsed for x in b])

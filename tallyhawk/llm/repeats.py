@@ -122,7 +122,8 @@ def passage_claims(df: DataFrame, texts: DataFrame, shards: int, id_col: str, te
     """
     rows = _stretch_rows(df, id_col, text_col)
     # Windows can be equal only if their marks are, so marks that occur once are left out first, by the cheapest rows.
-    recurring = rows.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mark")
+    # They are stored, so that the join can split a mark that many documents have.
+    recurring = stored(rows.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mark"))
     candidates = stored(rows.join(recurring, "mark"))
     heads = stored(
         candidates.groupBy("words").agg(
@@ -143,7 +144,7 @@ def passage_claims(df: DataFrame, texts: DataFrame, shards: int, id_col: str, te
             F.shiftright("head_place", 5).alias("head_start"),
         )
     )
-    several = heads.groupBy("mark").agg(F.count(F.lit(1)).alias("variants")).where("variants > 1").select("mark")
+    several = stored(heads.groupBy("mark").agg(F.count(F.lit(1)).alias("variants")).where("variants > 1").select("mark"))
     unsettled = heads.join(several, "mark").select("head.id", "head.place")
     windows = _window_rows(texts, unsettled.select(_shard(F.col("id"), shards).alias("shard"), "id", "place"))
     first = windows.groupBy("window").agg(F.min(F.struct("id", "start")).alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")

@@ -21,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhawk.llm.common import fresh_name, text_column
+from tallyhawk.llm.common import fresh_name, lowest_hashes, text_column
 
 # Words that insult or demean, by kind.
 LEXICONS: dict[str, tuple[str, ...]] = {
@@ -358,9 +358,7 @@ def fit_toxicity(
     known = known.groupBy(F.col(id_col).alias(id_name)).agg(F.max(label_col).cast("int").alias(label_name))
     shares = {r[0]: r[1] for r in known.groupBy(label_name).count().collect()}
     prior = shares.get(1, 0) / sum(shares.values()) if len(shares) == 2 else 0.1
-    parts = [
-        known.where(F.col(label_name) == y).orderBy(F.xxhash64(id_name), id_name).limit(rows_per_class) for y in (0, 1)
-    ]
+    parts = [lowest_hashes(known.where(F.col(label_name) == y), rows_per_class, id_name) for y in (0, 1)]
     chosen = parts[0].union(parts[1]).toArrow()
     sample = docs.sparkSession.createDataFrame(chosen) if chosen.num_rows else known.limit(0)
     labelled = docs.join(F.broadcast(sample), docs[id_col] == sample[id_name]).select(
