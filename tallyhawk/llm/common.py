@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one step of a batch function works on.
 BATCH_BYTES = 4 << 20
+#: Rows of a batch that a batch function turns into Python values at a time.
+SLICE_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -94,6 +96,13 @@ def byte_balanced(texts: list[str], limit: int = BATCH_BYTES) -> Iterator[tuple[
         yield start, len(texts)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches that Spark sends: what a task makes of texts is held for so many rows at most."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def text_column(batch: pa.RecordBatch, name: str) -> list[str]:
     """The texts of a batch; null becomes empty."""
     return [x or "" for x in batch.column(name).to_pylist()]

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhawk.llm.common import byte_balanced, fresh_name, text_column
+from tallyhawk.llm.common import byte_balanced, fresh_name, slices, text_column
 from tallyhawk.llm.word_hashes import Words, hash_words
 
 SEED_WORDS = 5
@@ -24,7 +24,7 @@ LEAST_SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Bytes of benchmark text that are searched for at a time; bounds what is broadcast. More items take more passes.
 BLOCK_BYTES = 8 << 20
-HASH_BYTES = 1 << 20
+HASH_BYTES = 1 << 19
 FILTER_BITS = 22
 
 #: Words are runs of ASCII letters and digits and of all other characters beyond ASCII, in lower case.
@@ -212,7 +212,7 @@ def document_frequency(df: DataFrame, block: Block, text_col: str) -> dict[int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(shared.value)
         counts = {n: np.zeros(len(h), np.int64) for n, h in shared.value.hashes.items()}
-        for batch in batches:
+        for batch in slices(batches):
             plains = [plain(x) for x in text_column(batch, text_col)]
             for low, high in byte_balanced(plains, HASH_BYTES):
                 words = hash_words(plains[low:high])
@@ -269,7 +269,7 @@ def benchmark_matches(
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             scorer = Scorer(shared.value, least)
-            for batch in batches:
+            for batch in slices(batches):
                 rows = list(scorer.matches(text_column(batch, text_col)))
                 text, item, score, first, end = zip(*rows, strict=True) if rows else ((), (), (), (), ())
                 yield pa.RecordBatch.from_arrays(

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhawk.llm.common import byte_balanced, text_column
+from tallyhawk.llm.common import byte_balanced, slices, text_column
 
 ORDERS = (1, 2, 3)
 #: Hash buckets; with languages they bound the broadcast matrix and the rows a task counts.
@@ -78,7 +78,7 @@ def gram_counts(df: DataFrame, lang_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
         docs: dict[str, int] = {}
-        for batch in batches:
+        for batch in slices(batches):
             langs, texts = np.array(batch.column(lang_col).to_pylist(), object), text_column(batch, text_col)
             for first, last in byte_balanced(texts, 1 << 20):
                 buckets, owner = grams(texts[first:last])
@@ -171,7 +171,7 @@ def language_id(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = text_column(batch, text_col)
             langs: list[str] = []
             scores = []

@@ -12,17 +12,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tallyhawk.llm.common import byte_balanced, text_column
+from tallyhawk.llm.common import byte_balanced, slices, text_column
 from tallyhawk.llm.tokenizer_pool import load_tokenizer
 
 WINDOW = 2048
 END_ID = 1
 #: Tokens that a task packs together; bounds its memory and is far above what good packing needs.
-POOL_TOKENS = 8_000_000
+POOL_TOKENS = 2_000_000
 #: The smallest hole that is worth a cut.
 LEAST_FRAGMENT = 16
 #: Words kept in a worker's memory, and the longest that is kept.
-MEMO_WORDS, MEMO_CHARS = 400_000, 40
+MEMO_WORDS, MEMO_CHARS = 300_000, 40
 
 PIECES = T.StructType(
     [
@@ -207,7 +207,7 @@ def pack(
         keys: list[pa.Array] = []
         docs: list[bytes] = []
         pooled = 0
-        for batch in batches:
+        for batch in slices(batches):
             texts = text_column(batch, text_col)
             for first, last in byte_balanced(texts):
                 ids = [x + end for x in words.encode(texts[first:last])]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tallyhawk.llm.common import byte_balanced, fresh_name, stored
+from tallyhawk.llm.common import byte_balanced, fresh_name, slices, stored
 from tallyhawk.llm.word_hashes import hash_words, mixed
 
 WINDOW = 20
@@ -23,7 +23,7 @@ MARK_WORDS = 6
 #: Bytes of text that share an automaton.
 SHARD_BYTES = 4 << 20
 #: Texts hashed at a time.
-HASH_BYTES = 1 << 20
+HASH_BYTES = 1 << 19
 #: A null id counts as smaller than every other.
 NULL_ID = -(1 << 63)
 
@@ -63,7 +63,7 @@ def _stretch_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(mark, words, id, place): place is the number of the first window times 32 and the windows after it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [(x or "").encode() for x in batch.column("text").to_pylist()]
             ids = batch.column("id").to_numpy()
             for low, high in byte_balanced(texts, HASH_BYTES):

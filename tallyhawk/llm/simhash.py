@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from tallyhawk.llm.common import checkpointed, fresh_name
+from tallyhawk.llm.common import checkpointed, fresh_name, slices
 from tallyhawk.llm.components import connected_components
 
 WORDS = 3
@@ -53,7 +53,7 @@ def with_fingerprint(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, fp): the fingerprint's 64 bits as a signed number. A null text has no words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             prints = np.array([fingerprint(x or "") for x in batch.column(text_col).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(prints.view(np.int64))], [id_col, "fp"])
 

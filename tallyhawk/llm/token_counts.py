@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tallyhawk.llm.common import byte_balanced, text_column
+from tallyhawk.llm.common import byte_balanced, slices, text_column
 from tallyhawk.llm.tokenizer_pool import load_tokenizer
 
 #: White space beside which a cut could change the tokens: anything but single blanks and line ends
@@ -95,7 +95,7 @@ def token_counts(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = _lengths(tokenizer_path)
-        for batch in batches:
+        for batch in slices(batches):
             texts = text_column(batch, text_col)
             tokens: list[int] = []
             for start, end in byte_balanced(texts):

@@ -21,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhawk.llm.common import fresh_name, lowest_hashes, text_column
+from tallyhawk.llm.common import fresh_name, lowest_hashes, slices, text_column
 
 # Words that insult or demean, by kind.
 LEXICONS: dict[str, tuple[str, ...]] = {
@@ -40,7 +40,7 @@ STEM_LENGTHS = (4, 5, 6)
 #: How sure a mined beginning must be: log-likelihood ratio, and the share of toxic rows among those that have it.
 LEAST_RATIO, LEAST_PRECISION = 30.0, 0.9
 #: Rows that a task's counter of beginnings may hold before it passes them on.
-STEMS_HELD = 400_000
+STEMS_HELD = 200_000
 #: Labelled rows of each class that a model is fitted on, those with the lowest hash of the id.
 ROWS_PER_CLASS = 6000
 VOTERS = (*LEXICONS, *PATTERNS, *(f"mined {i}" for i in range(MINED_VOTERS)))
@@ -49,7 +49,7 @@ LABEL_ACCURACY = 0.97
 HASH_BITS = 17
 THRESHOLD = 0.7
 #: Tokens kept in a worker's memory, and the longest that is kept.
-MEMO_TOKENS, MEMO_CHARS = 300_000, 40
+MEMO_TOKENS, MEMO_CHARS = 120_000, 40
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -289,7 +289,7 @@ def mined_stems(rows: DataFrame, text_col: str, label_col: str) -> dict[str, int
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
         seen = [0, 0]
-        for batch in batches:
+        for batch in slices(batches):
             for text, label in zip(text_column(batch, text_col), batch.column(label_col).to_pylist(), strict=True):
                 words = set(WORD.findall(text.lower()))
                 held[label].update({x for w in words for x in stems_of(w) if len(x) <= MEMO_CHARS})
@@ -369,7 +369,7 @@ def fit_toxicity(
     def patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voters = Votes(stems)
         counts: Counter[int] = Counter()
-        for batch in batches:
+        for batch in slices(batches):
             counts.update(voters.of(x)[0] for x in text_column(batch, text_col))
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int32()), pa.array(list(counts.values()), pa.int64())], ["mask", "n"])
 
@@ -378,7 +378,7 @@ def fit_toxicity(
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voters = Votes(stems)
-        for batch in batches:
+        for batch in slices(batches):
             masks, buckets = [], []
             for text in text_column(batch, "text"):
                 bits, tokens = voters.of(text)
