@@ -14,14 +14,16 @@ from tallyhawk.llm.html_text import page_texts
 from tallyhawk.llm.language_id import language_id
 from tallyhawk.llm.licences import licence_scan
 from tallyhawk.llm.line_rules import line_cleaning
+from tallyhawk.llm.oracles import ORACLES
 from tallyhawk.llm.packing import pack
 from tallyhawk.llm.repeats import without_repeats
 from tallyhawk.llm.simhash import near_duplicates
 from tallyhawk.llm.token_counts import token_counts
 from tallyhawk.llm.toxicity import toxicity
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
