@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -101,6 +104,15 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+    release_memory()
+
+
+def release_memory() -> None:
+    """Give memory that a task no longer uses back to the system: Spark keeps a worker for later tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only the GNU library has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def text_column(batch: pa.RecordBatch, name: str) -> list[str]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tallyhawk.llm.common import byte_balanced, slices, text_column
-from tallyhawk.llm.tokenizer_pool import load_tokenizer
+from tallyhawk.llm.tokenizer_pool import Memo, load_tokenizer
 
 WINDOW = 2048
 END_ID = 1
@@ -22,7 +23,7 @@ POOL_TOKENS = 2_000_000
 #: The smallest hole that is worth a cut.
 LEAST_FRAGMENT = 16
 #: Words kept in a worker's memory, and the longest that is kept.
-MEMO_WORDS, MEMO_CHARS = 300_000, 40
+MEMO_WORDS, MEMO_CHARS = 250_000, 40
 
 PIECES = T.StructType(
     [
@@ -45,20 +46,18 @@ class WordIds:
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: Memo[bytes] = Memo(MEMO_WORDS, MEMO_CHARS)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        known = self.known if len(self.known) < MEMO_WORDS else {"": b""}
+        known = self.known
         words = [x.replace("\n", " ").split(" ") for x in texts]
-        new = list(set().union(*words) - known.keys())
-        long_words = [x for x in new if len(x) > MEMO_CHARS]
+        distinct = set().union(*words)
+        new = list(distinct - known.keys())
         for start, end in byte_balanced(new, 1 << 20):
             encoded = self.tokenizer.encode_batch_fast(new[start:end], add_special_tokens=False)
             known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new[start:end], encoded, strict=True))
         ids = [b"".join([known[w] for w in x]) for x in words]
-        for word in long_words:
-            del known[word]
-        self.known = known
+        known.trim(new, len(distinct))
         return ids
 
 
@@ -174,7 +173,10 @@ def padded_length(fill: int, window: int = WINDOW) -> int:
     return fill if fill & (fill - 1) == 0 else window
 
 
-_WORD_IDS: dict[str, WordIds] = {}
+@cache
+def _word_ids(path: str) -> WordIds:
+    """One per worker process and tokenizer file, so that words stay known from task to task."""
+    return WordIds(path)
 
 
 def pack(
@@ -200,9 +202,7 @@ def pack(
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer_path not in _WORD_IDS:
-            _WORD_IDS[tokenizer_path] = WordIds(tokenizer_path)
-        words = _WORD_IDS[tokenizer_path]
+        words = _word_ids(tokenizer_path)
         next_id = TaskContext.get().partitionId() << 33
         keys: list[pa.Array] = []
         docs: list[bytes] = []

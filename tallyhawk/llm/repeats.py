@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tallyhawk.llm.common import byte_balanced, fresh_name, slices, stored
+from tallyhawk.llm.common import byte_balanced, fresh_name, release_memory, slices, stored
 from tallyhawk.llm.word_hashes import hash_words, mixed
 
 WINDOW = 20
@@ -256,6 +256,7 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             sha.append(hashlib.sha256(b" ".join(kept)).hexdigest())
             lost.append(len(words) - len(kept))
             text.append(x if drop is None or x is None else _without(x, drop))
+        release_memory()
         made = {
             text_name: pa.array([None if x is None else x.decode() for x in text], pa.string()),
             "n_words": pa.array([len(w) for _, w in docs], pa.int64()),

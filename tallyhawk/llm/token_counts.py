@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain
 
 import pyarrow as pa
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tallyhawk.llm.common import byte_balanced, slices, text_column
-from tallyhawk.llm.tokenizer_pool import load_tokenizer
+from tallyhawk.llm.tokenizer_pool import Memo, load_tokenizer
 
 #: White space beside which a cut could change the tokens: anything but single blanks and line ends
 #: between other characters.
@@ -19,7 +20,7 @@ UNSAFE = re.compile(r"\A\s|\s\Z|\s\s|[^\S \n]")
 #: The cut that is safe in any text: before a single blank between two other characters.
 SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 #: Chunks kept in a worker's memory, and the longest that is kept.
-MEMO_CHUNKS, MEMO_CHARS = 300_000, 40
+MEMO_CHUNKS, MEMO_CHARS = 250_000, 40
 
 
 class Lengths:
@@ -32,7 +33,7 @@ class Lengths:
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
-        self.known: dict[str, int] = {"": 0}
+        self.known: Memo[int] = Memo(MEMO_CHUNKS, MEMO_CHARS)
         self.line_end = self._encode(["\n"])[0]
 
     def _encode(self, chunks: list[str]) -> list[int]:
@@ -44,19 +45,13 @@ class Lengths:
 
     def counts(self, texts: list[str]) -> list[int]:
         """Token counts of `texts`; every text is looked at whole."""
-        known = self.known if len(self.known) < MEMO_CHUNKS else {"": 0}
+        known = self.known
         cut = [chunks(x) for x in texts]
-        new = list(set(chain.from_iterable(x for x, _ in cut)) - known.keys())
-        fresh = dict(zip(new, self._encode(new), strict=True))
-        totals = []
-        for pieces, line_ends in cut:
-            total = line_ends * self.line_end
-            for piece in pieces:
-                n = known.get(piece)
-                total += fresh[piece] if n is None else n
-            totals.append(total)
-        known.update((k, v) for k, v in fresh.items() if len(k) <= MEMO_CHARS)
-        self.known = known
+        distinct = set(chain.from_iterable(x for x, _ in cut))
+        new = list(distinct - known.keys())
+        known.update(zip(new, self._encode(new), strict=True))
+        totals = [line_ends * self.line_end + sum(map(known.__getitem__, pieces)) for pieces, line_ends in cut]
+        known.trim(new, len(distinct))
         return totals
 
 
@@ -71,14 +66,10 @@ def chunks(text: str) -> tuple[list[str], int]:
     return list(chain.from_iterable(x.replace(" ", "\n ").split("\n") for x in lines)), len(lines) - 1
 
 
-_LENGTHS: dict[str, Lengths] = {}
-
-
+@cache
 def _lengths(path: str) -> Lengths:
-    """One per worker process and tokenizer file."""
-    if path not in _LENGTHS:
-        _LENGTHS[path] = Lengths(path)
-    return _LENGTHS[path]
+    """One per worker process and tokenizer file, so that chunks stay known from task to task."""
+    return Lengths(path)
 
 
 def token_counts(

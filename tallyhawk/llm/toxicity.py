@@ -48,7 +48,7 @@ VOTERS = (*LEXICONS, *PATTERNS, *(f"mined {i}" for i in range(MINED_VOTERS)))
 LABEL_ACCURACY = 0.97
 HASH_BITS = 17
 THRESHOLD = 0.7
-#: Tokens kept in a worker's memory, and the longest that is kept.
+#: Tokens kept in a task's memory, those met first, and the longest that is kept.
 MEMO_TOKENS, MEMO_CHARS = 120_000, 40
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -66,9 +66,7 @@ class Votes:
         found = self.known.get(token)
         if found is None:
             found = self._look_up(token)
-            if len(token) <= MEMO_CHARS:
-                if len(self.known) >= MEMO_TOKENS:
-                    self.known.clear()
+            if len(token) <= MEMO_CHARS and len(self.known) < MEMO_TOKENS:
                 self.known[token] = found
         return found
 
@@ -272,9 +270,7 @@ class Scorer:
             if share is None:
                 buckets = self.voters.token(token)[1]
                 share = (float(self.model.words[list(buckets)].sum()), len(buckets))
-                if len(token) <= MEMO_CHARS:
-                    if len(self.shares) >= MEMO_TOKENS:
-                        self.shares.clear()
+                if len(token) <= MEMO_CHARS and len(self.shares) < MEMO_TOKENS:
                     self.shares[token] = share
             total += share[0]
             n += share[1]
