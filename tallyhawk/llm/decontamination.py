@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhawk.llm.common import byte_balanced, fresh_name, slices, text_column
+from tallyhawk.llm.common import byte_balanced, fresh_name, release_memory, slices, text_column
 from tallyhawk.llm.word_hashes import Words, hash_words
 
 SEED_WORDS = 5
@@ -299,6 +299,7 @@ def _holds_item(block: Broadcast, least: float, text: Column) -> Column:
             for i, *_ in scorer.matches([x or "" for x in texts]):
                 found[i] = True
             yield pd.Series(found)
+        release_memory()
 
     return holds(text)
 

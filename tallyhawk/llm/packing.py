@@ -209,7 +209,7 @@ def pack(
         pooled = 0
         for batch in slices(batches):
             texts = text_column(batch, text_col)
-            for first, last in byte_balanced(texts):
+            for first, last in byte_balanced(texts, 2 << 20):
                 ids = [x + end for x in words.encode(texts[first:last])]
                 docs += ids
                 keys.append(batch.column(id_col).slice(first, last - first))

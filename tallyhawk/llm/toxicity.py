@@ -21,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhawk.llm.common import fresh_name, lowest_hashes, slices, text_column
+from tallyhawk.llm.common import fresh_name, lowest_hashes, release_memory, slices, text_column
 
 # Words that insult or demean, by kind.
 LEXICONS: dict[str, tuple[str, ...]] = {
@@ -409,6 +409,7 @@ def toxicity_score(model: Broadcast, text: Column) -> Column:
         scorer = Scorer(model.value)
         for texts in batches:
             yield pd.Series([scorer.score(x or "") for x in texts], dtype="float64")
+        release_memory()
 
     return score(text)
 

@@ -17,7 +17,7 @@ _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _BYTES = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-@lru_cache(maxsize=8)
+@lru_cache(maxsize=4)
 def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """The powers of a base, and of its inverse, modulo 2 ** 64."""
     inverse = pow(base, -1, 1 << 64)
@@ -30,7 +30,7 @@ def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(1 << 20, 1 << (n - 1).bit_length()) if n else 1
+    size = max(1 << 16, 1 << (n - 1).bit_length()) if n else 1
     up, down = _powers(base, size)
     return up[:n], down[:n]
 
