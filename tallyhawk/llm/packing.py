@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tallyhawk.llm.common import byte_balanced, slices, text_column
-from tallyhawk.llm.tokenizer_pool import Memo, load_tokenizer
+from tallyhawk.llm.tokenizer_pool import load_tokenizer
 
 WINDOW = 2048
 END_ID = 1
@@ -23,7 +23,7 @@ POOL_TOKENS = 2_000_000
 #: The smallest hole that is worth a cut.
 LEAST_FRAGMENT = 16
 #: Words kept in a worker's memory, and the longest that is kept.
-MEMO_WORDS, MEMO_CHARS = 250_000, 40
+MEMO_WORDS, MEMO_CHARS = 400_000, 40
 
 PIECES = T.StructType(
     [
@@ -46,18 +46,20 @@ class WordIds:
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
-        self.known: Memo[bytes] = Memo(MEMO_WORDS, MEMO_CHARS)
+        self.known: dict[str, bytes] = {"": b""}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        known = self.known
+        known = self.known if len(self.known) < MEMO_WORDS else {"": b""}
         words = [x.replace("\n", " ").split(" ") for x in texts]
-        distinct = set().union(*words)
-        new = list(distinct - known.keys())
+        new = list(set().union(*words) - known.keys())
+        long_words = [x for x in new if len(x) > MEMO_CHARS]
         for start, end in byte_balanced(new, 1 << 20):
             encoded = self.tokenizer.encode_batch_fast(new[start:end], add_special_tokens=False)
             known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new[start:end], encoded, strict=True))
         ids = [b"".join([known[w] for w in x]) for x in words]
-        known.trim(new, len(distinct))
+        for word in long_words:
+            del known[word]
+        self.known = known
         return ids
 
 
@@ -209,7 +211,7 @@ def pack(
         pooled = 0
         for batch in slices(batches):
             texts = text_column(batch, text_col)
-            for first, last in byte_balanced(texts, 2 << 20):
+            for first, last in byte_balanced(texts):
                 ids = [x + end for x in words.encode(texts[first:last])]
                 docs += ids
                 keys.append(batch.column(id_col).slice(first, last - first))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tallyhawk.llm.common import byte_balanced, slices, text_column
-from tallyhawk.llm.tokenizer_pool import Memo, load_tokenizer
+from tallyhawk.llm.tokenizer_pool import load_tokenizer
 
 #: White space beside which a cut could change the tokens: anything but single blanks and line ends
 #: between other characters.
@@ -20,7 +20,7 @@ UNSAFE = re.compile(r"\A\s|\s\Z|\s\s|[^\S \n]")
 #: The cut that is safe in any text: before a single blank between two other characters.
 SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 #: Chunks kept in a worker's memory, and the longest that is kept.
-MEMO_CHUNKS, MEMO_CHARS = 250_000, 40
+MEMO_CHUNKS, MEMO_CHARS = 300_000, 40
 
 
 class Lengths:
@@ -33,7 +33,7 @@ class Lengths:
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
-        self.known: Memo[int] = Memo(MEMO_CHUNKS, MEMO_CHARS)
+        self.known: dict[str, int] = {"": 0}
         self.line_end = self._encode(["\n"])[0]
 
     def _encode(self, chunks: list[str]) -> list[int]:
@@ -45,13 +45,15 @@ class Lengths:
 
     def counts(self, texts: list[str]) -> list[int]:
         """Token counts of `texts`; every text is looked at whole."""
-        known = self.known
+        known = self.known if len(self.known) < MEMO_CHUNKS else {"": 0}
         cut = [chunks(x) for x in texts]
-        distinct = set(chain.from_iterable(x for x, _ in cut))
-        new = list(distinct - known.keys())
+        new = list(set(chain.from_iterable(x for x, _ in cut)) - known.keys())
         known.update(zip(new, self._encode(new), strict=True))
         totals = [line_ends * self.line_end + sum(map(known.__getitem__, pieces)) for pieces, line_ends in cut]
-        known.trim(new, len(distinct))
+        for chunk in new:
+            if len(chunk) > MEMO_CHARS:
+                del known[chunk]
+        self.known = known
         return totals
 
 

@@ -4,35 +4,9 @@ from __future__ import annotations
 
 import os
 from functools import cache
-from typing import TypeVar
 
 from tokenizers import Tokenizer
 
-V = TypeVar("V")
-
-
-class Memo(dict[str, V]):
-    """What texts' parts came to, of `limit` parts at most: those met first, among which the frequent ones are.
-
-    Once most of what a batch holds is unknown, the kind of text has changed and the memo starts over.
-    """
-
-    def __init__(self, limit: int, longest: int):
-        super().__init__()
-        self.limit, self.longest = limit, longest
-
-    def trim(self, fresh: list[str], distinct: int) -> None:
-        """After `fresh` parts of a batch with `distinct` ones came in: back to the limit."""
-        short = [x for x in fresh if len(x) <= self.longest]
-        gone = [x for x in fresh if len(x) > self.longest]
-        room = self.limit - (len(self) - len(fresh))
-        if room < len(short) and 2 * len(fresh) > distinct:
-            gone += self.keys() - set(fresh)
-            room = self.limit
-        gone += short[max(0, room) :]
-        for part in gone:
-            del self[part]
-
 
 @cache
 def load_tokenizer(path: str) -> Tokenizer:
