@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them."""
+"""Benchmark decontamination: n-gram seeds find passages, Smith-Waterman alignment scores them."""
 
 from __future__ import annotations
 
@@ -70,19 +70,6 @@ class Block:
         self.hashes[n], first = np.unique(hashes, return_index=True)
         self.bounds[n] = np.append(first, len(hashes))
 
-    def rare(self, frequency: dict[int, np.ndarray]) -> Block:
-        """The block with the rarer half of each item's n-grams: those up to the median of their document frequencies.
-
-        Being a rank, that keeps seeds in every item, also in one that a third of all documents hold.
-        """
-        block = Block(self.ids, self.words, {}, {}, {}, {})
-        for n, hashes in self.hashes.items():
-            of_pair = np.repeat(np.arange(len(hashes)), np.diff(self.bounds[n]))
-            rows = pd.DataFrame({"item": self.items[n], "n": frequency[n][of_pair]})
-            keep = (rows["n"] <= rows.groupby("item")["n"].transform("median")).to_numpy()
-            block._set(n, hashes[of_pair][keep], self.items[n][keep], self.places[n][keep])
-        return block
-
 
 class Finder:
     """Looks up the n-grams of texts among those of a block."""
@@ -205,33 +192,6 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[Block]
         yield Block.of(ids, texts)
 
 
-def document_frequency(df: DataFrame, block: Block, text_col: str) -> dict[int, np.ndarray]:
-    """In how many texts of `df` each n-gram of a block occurs. A task sends a row per n-gram at most."""
-    shared = df.sparkSession.sparkContext.broadcast(block)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Finder(shared.value)
-        counts = {n: np.zeros(len(h), np.int64) for n, h in shared.value.hashes.items()}
-        for batch in slices(batches):
-            plains = [plain(x) for x in text_column(batch, text_col)]
-            for low, high in byte_balanced(plains, HASH_BYTES):
-                words = hash_words(plains[low:high])
-                for n, count in counts.items():
-                    text, _, gram = finder.hits(words, n)
-                    once = np.unique(text * len(count) + gram)
-                    count += np.bincount(once % len(count), minlength=len(count))
-        for n, count in counts.items():
-            used = np.flatnonzero(count)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(used), n)), pa.array(used), pa.array(count[used])], ["length", "gram", "n"])
-
-    counted = df.select(text_col).mapInArrow(run, "length long, gram long, n long").groupBy("length", "gram").agg(F.sum("n").alias("n")).toArrow()
-    result = {n: np.zeros(len(h), np.int64) for n, h in block.hashes.items()}
-    for n, count in result.items():
-        own = counted.filter(pa.compute.equal(counted["length"], n))
-        count[own["gram"].to_numpy()] = own["n"].to_numpy()
-    return result
-
-
 def benchmark_matches(
     df: DataFrame,
     benchmark: DataFrame,
@@ -243,14 +203,13 @@ def benchmark_matches(
 ) -> DataFrame:
     """(id, item, score, first_word, end_word): which texts of `df` hold which benchmark items, edited ones included.
 
-    An item is looked for by the rarer half of its SEED_WORDS-grams, by document frequency over all of `df` (shorter items by
-    all their words). Around each seed the item is aligned with the text; `score` is the alignment's share of the best
+    An item is looked for by all its SEED_WORDS-grams (shorter items by all their words). Around each seed the item is aligned with the text; `score` is the alignment's share of the best
     score, 1 for a copy, and rows from `least` on are returned, the best place per text and item. Words are
     compared in lower case without ASCII punctuation.
 
     Null or wordless texts and items match nothing. Repeated rows and items give repeated results, null ids stay null, an empty
     table on either side gives an empty result; other columns are not read. The benchmark is the query set: its items pass in
-    blocks of BLOCK_BYTES, each of which is broadcast and takes two scans of `df`; nothing of `df` is shuffled but counts.
+    blocks of BLOCK_BYTES, each of which is broadcast and takes one scan of `df`; nothing of `df` is shuffled.
     """
     id_type, item_type = df.schema[id_col].dataType, benchmark.schema[item_col].dataType
     schema = T.StructType(
@@ -264,8 +223,7 @@ def benchmark_matches(
     )
     parts = [df.sparkSession.createDataFrame([], schema)]
     for block in _blocks(benchmark, item_col, item_text_col):
-        seeds = block.rare(document_frequency(df, block, text_col))
-        shared = df.sparkSession.sparkContext.broadcast(seeds)
+        shared = df.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             scorer = Scorer(shared.value, least)
@@ -315,8 +273,7 @@ def without_benchmark(
     """The rows of `df` that hold no benchmark item, with all their columns; see benchmark_matches."""
     kept = df
     for block in _blocks(benchmark, item_col, item_text_col):
-        shared = df.sparkSession.sparkContext.broadcast(block.rare(document_frequency(df, block, text_col)))
-
+        shared = df.sparkSession.sparkContext.broadcast(block)
         name = fresh_name(df.columns, "holds_item")
         kept = kept.withColumn(name, _holds_item(shared, least, F.col(text_col))).where(~F.col(name)).drop(name)
     return kept

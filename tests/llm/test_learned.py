@@ -162,6 +162,23 @@ def test_copies_and_edited_copies_of_items_are_found(spark):
     assert decontamination.benchmark_matches(df.limit(0), benchmark).count() == 0
 
 
+def with_edits(text, places):
+    return " ".join(f"edit{i}" if i in places else w for i, w in enumerate(text.split()))
+
+
+def test_copies_that_lost_half_of_their_five_word_sequences_are_found(spark):
+    items = [(0, words(40, 720)), (1, words(20, 721)), (2, words(40, 722))]
+    rows = [
+        (1, f"{words(50, 1)} {with_edits(items[0][1], {7, 15, 23, 31})} {words(50, 2)}"),
+        (2, f"{words(50, 3)} {with_edits(items[1][1], {6, 13})} {words(50, 4)}"),
+        (3, f"{words(50, 5)} {items[2][1]}"), (4, f"{with_edits(items[2][1], {7, 15, 23, 31})} {words(50, 6)}"), (5, words(200, 7)),
+    ]
+    benchmark, df = spark.createDataFrame(items, "item_id long, text string"), documents(spark, rows)
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontamination.benchmark_matches(df, benchmark).collect()}
+    assert got == {(1, 0): 0.85, (2, 1): 0.85, (3, 2): 1.0, (4, 2): 0.85}
+    assert [r["doc_id"] for r in decontamination.without_benchmark(df, benchmark).collect()] == [5]
+
+
 def test_the_pipeline_stage_by_stage(spark, tmp_path):
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
