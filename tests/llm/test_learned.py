@@ -179,6 +179,39 @@ def test_copies_that_lost_half_of_their_five_word_sequences_are_found(spark):
     assert [r["doc_id"] for r in decontamination.without_benchmark(df, benchmark).collect()] == [5]
 
 
+def edited(own, draw, kind):
+    """Words with every fifth or third one replaced, one put in after each, or some edits of any kind."""
+    if kind < 2:
+        return [f"e{draw.randrange(10**9)}" if i % (5, 3)[kind] == 2 else w for i, w in enumerate(own)]
+    if kind == 2:
+        return [x for w in own for x in (w, f"e{draw.randrange(10**9)}")]
+    return [x for w in own for x in ([], [w, f"e{draw.randrange(10**9)}"], [f"e{draw.randrange(10**9)}"], *[[w]] * 7)[draw.randrange(10)]]
+
+
+def test_all_pairs_that_align_well_are_found(spark):
+    draw = random.Random(11)
+    items = [(i, words(draw.randrange(5, 41), 800 + i, 60 if i % 3 else 4000)) for i in range(24)] + [(24, words(20, 850))]
+    rows = []
+    for i, (_, text) in enumerate(items):
+        for kind in range(4):
+            around = words(30, 900 + i).split() if i % 3 else words(30, 900 + i, 60).split()
+            rows.append((10 * i + kind, " ".join([*around[:15], *edited(text.split(), draw, kind), *around[15:]])))
+    spread = items[24][1].split()
+    rows += [(1000, " ".join(f"e{i}" if i % 5 == 2 else w for i, w in enumerate(spread))), (1001, " ".join(f"e{i}" if i % 3 == 2 else w for i, w in enumerate(spread)))]
+    want = {}
+    for d, text in rows:
+        for i, item in items:
+            score = plain_alignment(item.split(), text.split()) / (2 * len(item.split()))
+            if score >= decontamination.LEAST_SCORE:
+                want[(d, i)] = score
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontamination.benchmark_matches(documents(spark, rows), benchmark).collect()}
+    assert want[(1000, 24)] == 0.7 and want[(1001, 24)] == 0.55 and len(want) > 90
+    assert got == want
+    kept = decontamination.without_benchmark(documents(spark, rows), benchmark)
+    assert {r["doc_id"] for r in kept.collect()} == {d for d, _ in rows} - {d for d, _ in want}
+
+
 def test_the_pipeline_stage_by_stage(spark, tmp_path):
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
