@@ -61,9 +61,11 @@ LEAST_DICE = 0.8
 COMMON = frozenset("a an and any are as at be by for from in is it may not of on or that the this to use with you".split())
 #: What parts words: anything but letters and digits.
 NO_WORD = r"[^\p{L}\p{N}]+"
-#: A text's units are its lines, the sentences of its lines and its paragraphs.
+#: A text's units are its lines, the sentences of its lines, its paragraphs, and the sentences that run over lines.
 SENTENCE_GAP = r"(?<=[.!?])[\x20\x09-\x0D]+"
 PARAGRAPH_GAP = r"\n[\x20\x09-\x0D]*\n"
+#: What sentences do not run over: lines without a word, such as those of comment marks.
+BREAK = r"\n(?:[^\p{L}\p{N}\n]*\n)+"
 
 
 def normalised_words(text: Column) -> Column:
@@ -113,7 +115,8 @@ def licence_scan(
 ) -> DataFrame:
     """(id, licence, dice, n_units, statement): the licences that a text states, from all its units.
 
-    A unit is a line, a sentence or a paragraph; it states a licence if its distinct word bigrams
+    A unit is a line, a sentence of a line, a paragraph, or a sentence that runs over lines, up to a line without words
+    at most; the last one isn't counted again where a line, sentence or paragraph in it is as near to the licence. It states a licence if its distinct word bigrams
     and those of one of the licence's templates have a Dice coefficient of at least `least`. With n bigrams in a
     template, only units of n * least / (2 - least) to n * (2 - least) / least can reach it, and others are
     not compared with it; nor are texts without the words that every match must have. A unit counts for its nearest
@@ -125,41 +128,57 @@ def licence_scan(
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.split(text, "\n")
     sentences = F.flatten(F.transform(lines, lambda x: F.split(x, SENTENCE_GAP)))
+    wrapped = F.flatten(F.transform(F.split(text, BREAK), lambda x: F.split(x, SENTENCE_GAP)))
     keys = key_words(least)
 
     def possible(unit: Column) -> Column:
         return F.exists(F.array(F.lower(unit)), lambda x: reduce(lambda a, b: a | b, [F.contains(x, F.lit(k)) for k in keys]))
 
-    units = F.filter(F.array_distinct(F.concat(lines, sentences, F.split(text, PARAGRAPH_GAP))), possible)
+    plain = F.array_distinct(F.concat(lines, sentences, F.split(text, PARAGRAPH_GAP)))
+    units = F.concat(
+        F.transform(F.filter(plain, possible), lambda x: F.struct(x.alias("unit"), F.lit(False).alias("runs_over"))),
+        F.transform(F.filter(F.array_except(wrapped, plain), possible), lambda x: F.struct(x.alias("unit"), F.lit(True).alias("runs_over"))),
+    )
     known = templates(df.sparkSession)
     sizes = [len(set(zip(w, w[1:], strict=False))) for w in (_plain_words(x) for _, x in TEMPLATES)]
     low, high = min(sizes) * least / (2 - least), max(sizes) * (2 - least) / least
-    exploded = df.where(possible(text)).select(F.col(id_col).alias("id"), F.explode(units).alias("unit"))
-    worded = exploded.select("id", normalised_words(F.col("unit")).alias("words"))
+    exploded = df.where(possible(text)).select(F.col(id_col).alias("id"), F.explode(units).alias("u"))
+    worded = exploded.select("id", "u.runs_over", normalised_words(F.col("u.unit")).alias("words"))
     # With n distinct words there are n - 1 distinct bigrams at least, and words are cheaper to tell apart.
     short = worded.where((F.size("words") > low) & (F.size(F.array_distinct("words")) <= high + 1))
-    counted = short.select("id", F.array_join("words", " ").alias("unit"), bigrams(F.col("words")).alias("own"))
+    counted = short.select("id", "runs_over", F.array_join("words", " ").alias("unit"), bigrams(F.col("words")).alias("own"))
     sized = counted.withColumn("n_unit", F.size("own")).where(F.col("n_unit").between(low, high))
-    pairs = sized.select("id", "unit", "n_unit", F.explode("own").alias("bigram"))
+    pairs = sized.select("id", "runs_over", "unit", "n_unit", F.explode("own").alias("bigram"))
     template_pairs = known.select("template", "licence", "n_template", F.explode("template_bigrams").alias("template_bigram"))
     within = F.col("n_unit").between(
         F.col("n_template") * (least / (2 - least)), F.col("n_template") * ((2 - least) / least)
     )
     met = pairs.join(F.broadcast(template_pairs), (F.col("bigram") == F.col("template_bigram")) & within)
     shared = met.groupBy("id", "unit", "n_unit", "template", "licence", "n_template").agg(
-        F.count_distinct("bigram").alias("shared")
+        F.count_distinct("bigram").alias("shared"), F.min("runs_over").alias("runs_over")
     )
     scored = shared.withColumn("dice", 2 * F.col("shared") / (F.col("n_unit") + F.col("n_template"))).where(
         F.col("dice") >= least
     )
     # A wording counts for the template that is nearest to it, the first of the list if several are.
     told = scored.groupBy("id", "unit").agg(
-        F.min(F.struct((-F.col("dice")).alias("d"), "template", "licence", "dice")).alias("near")
+        F.min(F.struct((-F.col("dice")).alias("d"), "template", "licence", "dice")).alias("near"), F.min("runs_over").alias("runs_over")
+    )
+    # The wordings of an id and licence; a row for each distinct one, few as statements are.
+    wordings = told.groupBy("id", "near.licence").agg(
+        F.collect_list(F.struct((-F.col("near.dice")).alias("d"), "unit", "runs_over")).alias("all")
     )
-    best = told.select("id", "unit", "near.licence", "near.dice").groupBy("id", "licence").agg(
-        F.max("dice").alias("dice"),
-        F.count_distinct("unit").alias("n_units"),
-        F.min(F.struct((-F.col("dice")).alias("d"), "unit"))["unit"].alias("statement"),
+
+    def padded(unit: Column) -> Column:
+        return F.concat(F.lit(" "), unit, F.lit(" "))
+
+    def repeats(x: Column) -> Column:
+        return F.exists("all", lambda y: ~y["runs_over"] & (y["d"] <= x["d"]) & F.contains(padded(x["unit"]), padded(y["unit"])))
+
+    counted_once = wordings.withColumn("all", F.filter("all", lambda x: ~(x["runs_over"] & repeats(x))))
+    nearest = F.array_min("all")
+    best = counted_once.select(
+        "id", "licence", (-nearest["d"]).alias("dice"), F.size("all").cast("long").alias("n_units"), nearest["unit"].alias("statement")
     )
     return best.withColumnRenamed("id", id_col)
 

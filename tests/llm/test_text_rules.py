@@ -1,6 +1,7 @@
 """Line rules, licences and languages."""
 
 import re
+import textwrap
 from collections import Counter
 
 import pytest
@@ -120,6 +121,23 @@ def test_licences_are_those_of_brute_force(spark):
     assert licences.licence_scan(odd_documents(spark)).count() == 0
 
 
+def test_statements_that_run_over_lines_are_found(spark):
+    texts = dict(licences.TEMPLATES[::-1])
+    mit, gpl = (next(t for n, t in licences.TEMPLATES if n == name and len(t) > 200) for name in ("MIT", "GPL-3.0"))
+    comment = "\n".join(f" * {x}" for x in textwrap.wrap(gpl, 60))
+    header = "\n".join(f"# {x}" for x in textwrap.wrap(mit, 50))
+    code = "\n".join(f"    x{i} = call(y{i}, z{i})" for i in range(40))
+    rows = [
+        (1, f"/*\n * A library for rivers and mills of all kinds.\n *\n{comment}\n *\n * More words.\n */\n{code}"),
+        (2, f"{code}\n#\n{header}\n#\n{code}"),
+        (3, f"{PROSE} This work is licensed under the GNU\nGeneral Public License, version 3. {PROSE}\n{PROSE}"),
+        (4, f"A word before\n{texts['CC0-1.0']}\n{PROSE}"),
+        (5, f"{PROSE}\n{PROSE}"),
+    ]
+    got = {(r["doc_id"], r["licence"]): (r["dice"], r["n_units"]) for r in licences.licence_scan(documents(spark, rows)).collect()}
+    assert got == {(1, "GPL-3.0"): (1.0, 1), (2, "MIT"): (1.0, 1), (3, "GPL-3.0"): (1.0, 1), (4, "CC0-1.0"): (1.0, 1)}
+
+
 def test_key_words_lose_no_template():
     keys = licences.key_words()
     for _, text in licences.TEMPLATES:
