@@ -49,16 +49,17 @@ def fingerprint(text: str, words: int = WORDS, seed: int = SEED) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def with_fingerprint(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, fp): the fingerprint's 64 bits as a signed number. A null text has no words."""
+def with_fingerprint(df: DataFrame, id_col: str, text_col: str, *others: str) -> DataFrame:
+    """(id, others, fp): the fingerprint's 64 bits as a signed number. A null text has no words."""
+    names = [id_col, *others]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             prints = np.array([fingerprint(x or "") for x in batch.column(text_col).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(prints.view(np.int64))], [id_col, "fp"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(prints.view(np.int64))], [*names, "fp"])
 
-    schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), T.StructField("fp", T.LongType())])
-    return df.select(id_col, text_col).mapInArrow(run, schema)
+    schema = T.StructType([*(T.StructField(x, df.schema[x].dataType) for x in names), T.StructField("fp", T.LongType())])
+    return df.select(*names, text_col).mapInArrow(run, schema)
 
 
 def bucket_keys(fp: str = "fp") -> F.Column:
@@ -245,10 +246,19 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def one_per_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `df` without near duplicates: of each group the row with the smallest id, all columns kept.
 
-    Of repeated rows with one id, one row stays. Rows with a null id belong to no group and stay.
+    Rows with one id and text are one row. Rows with one id and different texts are told apart by the texts: each goes or
+    stays as its own text says. Rows with a null id belong to no group and stay.
     """
-    groups = near_duplicates(df, id_col, text_col)
-    gone = groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias(fresh_name(df.columns, "gone_id"))).distinct()
-    named = df.where(F.col(id_col).isNotNull())
-    kept = named.join(gone, named[id_col] == gone[gone.columns[0]], "left_anti").dropDuplicates([id_col])
+    code = fresh_name(df.columns, "text_code")
+    named = df.where(F.col(id_col).isNotNull()).withColumn(code, F.xxhash64(text_col))
+    rows = named.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(code).alias("code"))
+    prints = checkpointed(with_fingerprint(rows, "id", "text", "code"))
+    # Prints are nodes here, not ids, so that texts of one id don't link their groups.
+    nodes = checkpointed(prints.select("fp").distinct().withColumn("node", F.col("fp")))
+    components = connected_components(fingerprint_links(nodes))
+    grouped = prints.join(components, F.col("fp") == F.col("node"), "left").withColumn("component", F.coalesce("component", "fp"))
+    first = grouped.groupBy("component").agg(F.min(F.struct("id", "code")).alias("first"))
+    stays = first.select(F.col("first.id").alias("stays_id"), F.col("first.code").alias("stays_code"))
+    same = (named[id_col] == stays["stays_id"]) & (named[code] == stays["stays_code"])
+    kept = named.join(stays, same, "left_semi").dropDuplicates([id_col, code]).drop(code)
     return kept.unionByName(df.where(F.col(id_col).isNull()))

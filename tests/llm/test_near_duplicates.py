@@ -95,3 +95,11 @@ def test_one_row_stays_of_each_group(spark):
     want = plain_groups(ODD_TEXTS)
     assert sorted(r["doc_id"] for r in rows if r["doc_id"] is not None) == sorted({v for v in want.values()})
     assert sum(r["doc_id"] is None for r in rows) == 2
+
+
+def test_texts_of_one_id_are_told_apart(spark):
+    a, b, c = words(80, 61), words(80, 62), words(80, 63)
+    rows = [(1, a), (2, a), (2, b), (2, b), (3, c), (3, b), (None, a)]
+    kept = simhash.one_per_group(documents(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept if r["doc_id"]) == sorted([(1, a), (2, b), (3, c)])
+    assert sum(r["doc_id"] is None for r in kept) == 1
