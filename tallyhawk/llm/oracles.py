@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyhawk.llm import licences, line_rules, repeats
+from tallyhawk.llm import divergence, licences, line_rules, repeats
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -92,7 +92,37 @@ SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coales
 FROM w LEFT JOIN kept USING (doc_id)"""
 
 
+def _divergence() -> str:
+    d = divergence
+
+    def share(n: str, total: str) -> str:
+        return f"CAST(1 + CAST({d.UNIT} AS HUGEINT) * ({n} + {d.SMOOTHING}) // ({total} + {d.SMOOTHING} * v) AS BIGINT)"
+
+    return rf"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+kept AS (SELECT lang, term FROM (SELECT lang, unnest(list_distinct(terms)) AS term FROM d) GROUP BY ALL HAVING count(*) >= {d.LEAST_DOCUMENTS}),
+n AS (SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(terms) AS term FROM d) JOIN kept USING (lang, term) GROUP BY ALL),
+c AS (SELECT g.lang, g.source, term, coalesce(n.n, 0) AS n, count(*) OVER (PARTITION BY g.lang, g.source) AS v
+  FROM g JOIN kept USING (lang) LEFT JOIN n USING (lang, source, term)),
+s AS (SELECT *, sum(n) OVER (PARTITION BY lang, source) AS total, sum(n) OVER (PARTITION BY lang, term) AS lang_n,
+    sum(n) OVER (PARTITION BY lang) AS lang_total FROM c),
+p AS (SELECT lang, source, term, n, {share("n", "total")} AS p, {share("lang_n", "lang_total")} AS q FROM s),
+far AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(far.value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN far ON far.lang = a.lang AND far.source = a.source AND far.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= {d.MOST_TERMS}"""
+
+
 ORACLES: dict[str, str] = {
+    "op12_divergence": _divergence(),
     "op4_licences": _licences(),
     "op7_repeats": _repeats(),
     "op8_line_rules": _line_rules(),

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from tallyhawk.llm.common import ship_package, table
 from tallyhawk.llm.decontamination import benchmark_matches
+from tallyhawk.llm.divergence import divergence
 from tallyhawk.llm.html_text import page_texts
 from tallyhawk.llm.language_id import language_id
 from tallyhawk.llm.licences import licence_scan
 from tallyhawk.llm.line_rules import line_cleaning
+from tallyhawk.llm.mixing import mix
 from tallyhawk.llm.oracles import ORACLES
 from tallyhawk.llm.packing import pack
 from tallyhawk.llm.repeats import without_repeats
@@ -85,3 +87,13 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).drop("copies")
+
+
+@_query
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(table(spark, sf_dir, "documents"))
