@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -18,6 +19,7 @@ from tallyhawk.llm.line_rules import line_cleaning
 from tallyhawk.llm.mixing import mix
 from tallyhawk.llm.oracles import ORACLES
 from tallyhawk.llm.packing import pack
+from tallyhawk.llm.periods import periodic_runs
 from tallyhawk.llm.repeats import without_repeats
 from tallyhawk.llm.simhash import near_duplicates
 from tallyhawk.llm.token_counts import token_counts
@@ -97,3 +99,21 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(table(spark, sf_dir, "documents"))
+
+
+def _with_period(ident: int | None, words: list[bytes]) -> list[bytes]:
+    """The words with a period made, where the id's hash says so: a tenth of the documents."""
+    n = len(words)
+    if ident is None or not n:
+        return words
+    group, digit = divmod(zlib.crc32(str(ident).encode()), 10)
+    if digit:
+        return words
+    first = group % n
+    period = 1 + (n - first) // (3 + group % 8)
+    return words[:first] + [words[first + i % period] for i in range(n - first)]
+
+
+@_query
+def op13_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(table(spark, sf_dir, "documents"), rewrite=_with_period).drop("collapsed")
