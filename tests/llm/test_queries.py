@@ -26,6 +26,9 @@ COLUMNS = {
     "op7_repeats": "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string",
     "op9_language_id": "doc_id bigint, held_out boolean, lang_pred string, score double",
     "op10_simhash": "doc_id bigint, fingerprint string, component_id bigint",
+    "op11_mixing": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
+    "op12_divergence": "lang string, source string, part string, item string, value bigint, rank int",
+    "op13_periods": "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, runs_sha256 string, collapsed_sha256 string",
 }
 
 
