@@ -16,10 +16,9 @@ def plain(own):
     n, found = len(own), {}
     codes = np.unique(np.array(own, dtype=object), return_inverse=True)[1] if n else np.empty(0)
     for q in range(1, n // 4 + 1):
-        differ = [-1, *np.flatnonzero(codes[q:] != codes[:-q]).tolist(), n - q]
-        for i, j in zip(differ, differ[1:], strict=False):
-            if j - i - 1 > 0 and j + q - i - 1 >= max(6, 4 * q):
-                found.setdefault((i + 1, j + q), q)
+        differ = np.concatenate([[-1], np.flatnonzero(codes[q:] != codes[:-q]), [n - q]])
+        for k in np.flatnonzero(np.diff(differ) - 1 >= max(6 - q, 3 * q)).tolist():
+            found.setdefault((int(differ[k]) + 1, int(differ[k + 1]) + q), q)
     return sorted(((s, e - s, q) for (s, e), q in found.items()), key=lambda x: (x[0], x[2]))
 
 
