@@ -5,6 +5,9 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterable
 from dataclasses import dataclass
+from decimal import Decimal
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,23 +97,56 @@ def spread_gate(amount_stddev: float | None, spark: SparkSession) -> DataFrame:
     )
 
 
+def rejected_gate(spark: SparkSession, n_rows: int, n_rejected: int, max_share: float) -> DataFrame:
+    """Of all rows that arrived, the share that did not fit their types; 0 of none."""
+    share = F.lit(n_rejected / max(n_rows + n_rejected, 1))
+    one = spark.range(1, numPartitions=1)
+    return one.select(F.inline(F.array(check("rejected_share", share, upper=max_share))))
+
+
 def columns_gate(df: DataFrame, required: Iterable[str]) -> DataFrame:
     """The column check of a table as a gate of one row, from the schema alone."""
     one = df.sparkSession.range(1, numPartitions=1)
     return one.select(F.inline(F.array(column_check(df.columns, required))))
 
 
-def load_gate(stored: DataFrame, summaries: DataFrame, expected_rows: Column) -> DataFrame:
+def content_digest(df: DataFrame, columns: Iterable[str] | None = None) -> list[Column]:
+    """Aggregates that tell one content from another: rows, and two sums of 64-bit hashes of whole rows.
+
+    Sums do not depend on the order or the split of the rows, and count copies as often as they occur. Columns are
+    taken by name in one order, with their nulls; -0.0 and 0.0 differ, as they do in files.
+    """
+    names = sorted(df.columns if columns is None else columns)
+    values = [x for c in names for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    hashes = [F.sum(F.xxhash64(F.lit(seed), *values).cast("decimal(20,0)")) for seed in (1, 2)]
+    zero = F.lit(0).cast("decimal(38,0)")
+    sums = [F.coalesce(h.cast("decimal(38,0)"), zero).alias(f"digest_{k}") for k, h in enumerate(hashes, 1)]
+    return [F.count(F.lit(1)).alias("n_rows"), *sums]
+
+
+def load_gate(
+    stored: DataFrame,
+    summaries: DataFrame,
+    expected_rows: Column,
+    expected_digest: tuple[Decimal, Decimal] | None = None,
+) -> DataFrame:
     """After a load: rows stored equal rows expected, and a summary exists.
 
-    ``expected_rows`` is a literal, or the scalar of a one-row count.
+    ``expected_rows`` is a literal, or the scalar of a one-row count. With ``expected_digest``, which
+    ``content_digest`` gave of the rows as they were written, so many of its two sums may differ as 0.
     """
     present = summaries.agg(F.count(F.lit(1)).alias("present")).scalar()
     measured = stored.agg(F.count(F.lit(1)).alias("stored"))
+    more = []
+    if expected_digest is not None:
+        measured = stored.agg(*content_digest(stored)).withColumnRenamed("n_rows", "stored")
+        sums = (F.col(f"digest_{k}") != F.lit(d).cast("decimal(38,0)") for k, d in enumerate(expected_digest, 1))
+        more = [check("stored_digests_apart", reduce(add, (differs.cast("int") for differs in sums)), 0, 0)]
     checks = F.array(
         check("stored_rows", F.col("stored"), lower=1),
         check("stored_minus_expected", F.col("stored") - expected_rows, 0, 0),
         check("summary_rows", present, lower=1),
+        *more,
     )
     return measured.select(F.inline(checks))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhawk import functions as X
+from tallyhawk.operators import exact
 from tallyhawk.operators.features import known
 from tallyhawk.schema import AMOUNT, CLASS
 
@@ -106,6 +107,37 @@ def column_stats(df: DataFrame) -> DataFrame:
     )
 
 
+def whole_stats(df: DataFrame) -> DataFrame:
+    """(column_name, n, total, min_value, max_value) of every column of whole numbers, none of them through a double.
+
+    The one pass of ``column_stats``, in 64 bits, and the total in 38 digits: 2**53 and 2**53 + 1 stay apart.
+    """
+    names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.IntegralType)]
+    values = F.array(*(F.col(name).cast("bigint") for name in names)) if names else F.array().cast("array<bigint>")
+    stats = (
+        df.select(F.posexplode(values).alias("position", "value"))
+        .groupBy("position")
+        .agg(
+            F.count("value").alias("n"),
+            F.sum(F.col("value").cast("decimal(28,0)")).cast("decimal(38,0)").alias("total"),
+            F.min("value").alias("min_value"),
+            F.max("value").alias("max_value"),
+        )
+    )
+    positions = df.sparkSession.range(len(names), numPartitions=1).select(F.col("id").cast("int").alias("position"))
+    name_at = F.element_at(F.array(*(F.lit(name) for name in names or [""])), F.col("position") + 1)
+    return positions.join(stats, "position", "left").select(
+        name_at.alias("column_name"), F.coalesce("n", F.lit(0)).alias("n"), "total", "min_value", "max_value"
+    )
+
+
+def exact_amount_stats(df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """For each class or other key: rows, sum and mean of the amount, equal to the last bit in every run."""
+    sums = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.count(known(AMOUNT)).alias("n"), *exact.exact_sum(known(AMOUNT), "sum"))
+    total = exact.total("sum")
+    return sums.select(*keys, "n_rows", total.alias("amount"), F.try_divide(total, F.col("n").cast("double")).alias("amount_mean"))
+
+
 def describe(df: DataFrame) -> DataFrame:
     """Spark's text summary of numeric and string columns: five rows, in their order.
 

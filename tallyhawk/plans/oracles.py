@@ -203,18 +203,42 @@ ORACLES: dict[str, str] = {
           round(avg(CAST(Class AS DOUBLE)), 6) AS fraud_rate FROM txn""",
     "column_stats": f"WITH {_WIDE} {_column_stats(REQUIRED_RAW, 'txn')}",
     "line_column_stats": _column_stats(_LINE_NUMBERS, "lineitem"),
-    "describe_text": """
-        SELECT 'count' AS summary, CAST(count(lang) AS VARCHAR) AS lang,
-          CAST(count(source) AS VARCHAR) AS source, CAST(count(text) AS VARCHAR) AS text
-        FROM documents
-        UNION ALL SELECT 'mean', CAST(avg(TRY_CAST(lang AS DOUBLE)) AS VARCHAR),
-          CAST(avg(TRY_CAST(source AS DOUBLE)) AS VARCHAR),
-          CAST(avg(TRY_CAST(text AS DOUBLE)) AS VARCHAR) FROM documents
-        UNION ALL SELECT 'stddev', CAST(stddev_samp(TRY_CAST(lang AS DOUBLE)) AS VARCHAR),
-          CAST(stddev_samp(TRY_CAST(source AS DOUBLE)) AS VARCHAR),
-          CAST(stddev_samp(TRY_CAST(text AS DOUBLE)) AS VARCHAR) FROM documents
-        UNION ALL SELECT 'min', min(lang), min(source), min(text) FROM documents
-        UNION ALL SELECT 'max', max(lang), max(source), max(text) FROM documents""",
+    "describe_text": " UNION ALL ".join(
+        f"""SELECT '{row}' AS summary,
+          {", ".join(f"round(CAST({f.format(n)} AS DOUBLE), 4) AS {n}" for n in ("doc_id", "n_chars"))},
+          {", ".join(f"CAST({f.format(t if row in ('count', 'min', 'max') else f'TRY_CAST({t} AS DOUBLE)')} AS VARCHAR) AS {t}" for t in ("text", "lang", "source"))}
+        FROM documents"""
+        for row, f in (("count", "count({})"), ("mean", "avg({})"), ("stddev", "stddev_samp({})"), ("min", "min({})"), ("max", "max({})"))
+    ),
+    "whole_column_stats": " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count({c}) AS n, CAST(sum({c}) AS DECIMAL(38,0)) AS total,
+          CAST(min({c}) AS BIGINT) AS min_value, CAST(max({c}) AS BIGINT) AS max_value FROM lineitem"""
+        for c in _LINE_NUMBERS[:4]
+    ),
+    # Amounts are 0 or above 2**-7: whole numbers of 2**-60.
+    "exact_amounts": f"""WITH {_LINES}, s AS (
+          SELECT Class, count(*) AS n_rows, count(Amount) AS n,
+            CAST(sum(CAST(Amount * 1152921504606846976.0 AS HUGEINT)) AS DOUBLE) / 1152921504606846976.0 AS amount
+          FROM txn GROUP BY Class)
+        SELECT Class, n_rows, amount, amount / n AS amount_mean FROM s""",
+    "append_keyed": "SELECT * FROM orders",
+    "switched_day": f"""WITH {_EVENTS}
+        SELECT transaction_id, Time, Amount, Class, hour_of_day, date_processed
+        FROM stored WHERE date_processed <> DATE '2024-01-15' OR Class = 0""",
+    "content_gate": f"""WITH {_EVENTS}
+        SELECT date_processed, count(*) AS n_rows, count(*) AS n_rows_back,
+          bool_and(date_processed <> DATE '2024-01-15' OR Amount + 0.01 = Amount) AS same_content
+        FROM stored GROUP BY date_processed""",
+    "late_rows": f"""WITH {_EVENTS}
+        SELECT date_processed, {_SUMMARY} FROM stored GROUP BY date_processed""",
+    "rejected_rows": f"""WITH {_EVENTS}
+        SELECT CASE WHEN Class = 1 AND Amount > 20 THEN 'rejected' ELSE CAST(Class AS VARCHAR) END AS kind,
+          count(*) AS n_rows FROM txn GROUP BY 1""",
+    "sent_files": """WITH d AS (SELECT coalesce(source, '__HIVE_DEFAULT_PARTITION__') AS source, lang,
+            CAST(doc_id AS VARCHAR) || ',' || coalesce(lang, '') || ',' || coalesce(CAST(n_chars AS VARCHAR), '') AS line
+          FROM documents)
+        SELECT source, CAST(sum(strlen(line) + 1) AS BIGINT) AS n_bytes, count(*) AS n_rows,
+          NOT coalesce(bool_or(lang = 'fr'), FALSE) AS same_again FROM d GROUP BY source""",
     "fraud_by_exact_hour": f"""WITH {_EVENTS}
         SELECT hour_of_day, Class AS class, count(*) AS n_rows
         FROM stored GROUP BY 1, 2 ORDER BY 1, 2""",
@@ -275,7 +299,7 @@ ORACLES: dict[str, str] = {
           ELSE total_transactions END AS total_transactions) FROM s""",
     "replaced_day": f"""WITH {_EVENTS}
         SELECT transaction_id, Time, Amount, Class, hour_of_day, date_processed
-        FROM stored WHERE date_processed = DATE '2024-01-15' AND Class = 0""",
+        FROM stored WHERE date_processed <> DATE '2024-01-15' OR Class = 0""",
     "declared_table": f"""WITH {_EVENTS}
         SELECT date_processed, {_SUMMARY} FROM stored GROUP BY date_processed""",
     "latest_snapshot": f"WITH {_EVENTS} SELECT transaction_id, Time, Amount, Class FROM txn",

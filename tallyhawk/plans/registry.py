@@ -34,7 +34,7 @@ from tallyhawk.schema import (
     TIME,
     ZSCORE,
 )
-from tallyhawk.sinks import tables
+from tallyhawk.sinks import dated, tables
 from tallyhawk.sources import files, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -173,8 +173,19 @@ def _rounded_stats(stats: DataFrame) -> DataFrame:
 
 
 def describe_text(spark, sf_dir):
-    documents = views.table(spark, sf_dir, "documents")
-    return profile.describe(documents.select("lang", "source", "text"))
+    """All columns of the documents; numbers of the summary as such, rounded to what two engines agree on."""
+    described = profile.describe(views.table(spark, sf_dir, "documents"))
+    numbers = {c: F.round(F.col(c).cast("double"), 4) for c in ("doc_id", "n_chars")}
+    return described.withColumns(numbers)
+
+
+def whole_column_stats(spark, sf_dir):
+    return profile.whole_stats(views.table(spark, sf_dir, "lineitem"))
+
+
+def exact_amounts(spark, sf_dir):
+    """Sums and means of the amounts by class, as they are: nothing is rounded."""
+    return profile.exact_amount_stats(views.line_transactions(spark, sf_dir), (CLASS,))
 
 
 def fraud_by_exact_hour(spark, sf_dir):
@@ -304,6 +315,17 @@ def append_absent(spark, sf_dir):
     return files.read_parquet(spark, path)
 
 
+def append_keyed(spark, sf_dir):
+    """Orders in buckets of their key: the old ones, then all, twice; only the batch moves."""
+    orders = views.table(spark, sf_dir, "orders")
+    name = _fresh_table(spark, "keyed_orders")
+    tables.create_keyed(spark, name, orders.schema, ["o_orderkey"], 8)
+    old = orders.where("o_orderdate < TIMESTAMP_NTZ'1998-01-01 00:00:00'")
+    for batch in (old, orders, orders):
+        load.append_absent_keyed(batch, name, ["o_orderkey"])
+    return spark.table(name)
+
+
 # --- sinks, sources and snapshots --------------------------------------------
 
 
@@ -366,15 +388,84 @@ def partition_refresh(spark, sf_dir):
 
 
 def replaced_day(spark, sf_dir):
-    """A date loaded in full, then replaced by its class 0: class 1 must be gone."""
+    """All dates stored, one then replaced by its class 0: of that date, and of no other, class 1 must be gone."""
     path = scratch_folder(spark)
-    day = marts.on_date(views.stored_events(spark, sf_dir), AS_OF)
-    tables.replace_day(day, path, AS_OF, partition_by=(CLASS,))
+    events = views.stored_events(spark, sf_dir)
+    events.repartition(DATE).write.partitionBy(DATE, CLASS).parquet(path)
+    day = marts.on_date(events, AS_OF)
     tables.replace_day(day.where(F.col(CLASS) == 0), path, AS_OF, partition_by=(CLASS,))
     rows = files.read_parquet(spark, path)
     return rows.select(ROW_ID, TIME, AMOUNT, CLASS, HOUR, F.col(DATE).cast("date").alias(DATE))
 
 
+def switched_day(spark, sf_dir):
+    """All dates in a catalog table; one staged by a run that dies, then replaced by its class 0 in one step, twice."""
+    path = scratch_folder(spark)
+    events = views.stored_events(spark, sf_dir)
+    events.repartition(DATE).write.partitionBy(DATE).parquet(path)
+    name = _fresh_table(spark, "switched_events")
+    dated.declare(spark, name, events.schema, path)
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    day = marts.on_date(events, AS_OF)
+    dated.stage_date(day.withColumn(AMOUNT, F.lit(-1.0)), name, AS_OF)
+    for _ in range(2):
+        dated.replace_date(day.where(F.col(CLASS) == 0), name, AS_OF)
+    dated.remove_superseded(spark, name, AS_OF)
+    return spark.table(name).select(ROW_ID, TIME, AMOUNT, CLASS, HOUR, DATE)
+
+
+def content_gate(spark, sf_dir):
+    """Every date read back beside what was sent, after one date's amounts were changed on the way: counts alone agree."""
+    path = scratch_folder(spark)
+    events = views.stored_events(spark, sf_dir)
+    spoilt = F.when(F.col(DATE) == F.lit(AS_OF), F.col(AMOUNT) + 0.01).otherwise(F.col(AMOUNT))
+    tables.refresh_dates(events.withColumn(AMOUNT, spoilt), path)
+    read = files.read_parquet(spark, path).select(events.columns)
+    sent, back = (df.groupBy(DATE).agg(*gates.content_digest(df)) for df in (events, read))
+    renamed = back.withColumnsRenamed({c: f"{c}_back" for c in ("n_rows", "digest_1", "digest_2")})
+    same = (F.col("digest_1") == F.col("digest_1_back")) & (F.col("digest_2") == F.col("digest_2_back"))
+    return sent.join(renamed, DATE).select(DATE, "n_rows", "n_rows_back", same.alias("same_content"))
+
+
+def late_rows(spark, sf_dir):
+    """Mornings loaded first, afternoons later, the later batch twice: daily summaries from merged totals."""
+    store = Store(scratch_folder(spark))
+    events = views.stored_events(spark, sf_dir)
+    morning = F.col(HOUR) < 12
+    load.store_totals(marts.hour_totals(events.where(morning)), store, load.FIRST_BATCH)
+    for _ in range(2):
+        load.load_late(events.where(~morning), store, RUN_TS, "afternoon")
+    return _rounded_summary(load.daily_mart(spark, store).drop(CREATED_AT))
+
+
+def rejected_rows(spark, sf_dir):
+    """Amounts above 20 of class 1 arrive as text that is no number: rows that go on by class, and those kept aside."""
+    path = scratch_folder(spark)
+    events = views.event_transactions(spark, sf_dir).select(TIME, AMOUNT, CLASS)
+    text = F.when((F.col(CLASS) == 1) & (F.col(AMOUNT) > 20), F.lit("n/a")).otherwise(F.col(AMOUNT).cast("string"))
+    tables.write_csv(events.withColumn(AMOUNT, text), f"{path}/in")
+    snapshots.land_snapshot(files.read_with_rejects(spark, f"{path}/in"), path, RUN_TS)
+    landed = snapshots.read_snapshot(spark, path, RUN_TS)
+    good = distribution.class_counts(files.accepted(landed)).select(F.col("class").cast("string").alias("kind"), "n_rows")
+    aside = files.rejected(landed).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("rejected").alias("kind"), "n_rows")
+    return good.unionByName(aside)
+
+
+def sent_files(spark, sf_dir):
+    """One file of documents for each source, sent a second time without one language: which files are known."""
+    root = scratch_folder(spark)
+    documents = views.table(spark, sf_dir, "documents").select("source", "doc_id", "lang", "n_chars")
+    second = documents.where(F.coalesce(F.col("lang"), F.lit("")) != "fr")
+    found = []
+    for name, rows in (("first", documents), ("second", second)):
+        rows.repartition("source").write.partitionBy("source").csv(f"{root}/{name}")
+        found.append(files.manifest(spark.read.text(f"{root}/{name}/*/*.csv")))
+    first, again = found
+    compared = files.sent_before(first, again)
+    source = F.regexp_extract("file", "source=([^/]*)/", 1)
+    return compared.select(source.alias("source"), "n_bytes", "n_rows", F.col("seen_as").isNotNull().alias("same_again"))
+
+
 def declared_table(spark, sf_dir):
     path = scratch_folder(spark)
     daily = marts.with_created_at(
@@ -382,15 +473,19 @@ def declared_table(spark, sf_dir):
     )
     tables.refresh_dates(daily, f"{path}/fraud_summary")
     schema, partitions = tables.STORED_TABLES["fraud_summary"]
-    # One entry in the catalog, whatever the number of calls.
-    spark.sql("CREATE DATABASE IF NOT EXISTS tallyhawk_scratch")
-    name = "tallyhawk_scratch.fraud_summary"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    name = _fresh_table(spark, "fraud_summary")
     tables.create_table(spark, name, schema, f"{path}/fraud_summary", partitions)
     spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     return _rounded_summary(spark.table(name).drop(CREATED_AT))
 
 
+def _fresh_table(spark: SparkSession, name: str) -> str:
+    """One entry in the catalog, whatever the number of calls."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS tallyhawk_scratch")
+    spark.sql(f"DROP TABLE IF EXISTS tallyhawk_scratch.{name}")
+    return f"tallyhawk_scratch.{name}"
+
+
 def latest_snapshot(spark, sf_dir):
     """Two runs landed, the later one twice; the later one read back."""
     root = scratch_folder(spark)
@@ -528,6 +623,14 @@ QUERIES: dict[str, Query] = {
     "declared_table": declared_table,
     "latest_snapshot": latest_snapshot,
     "snapshot_retention": snapshot_retention,
+    "whole_column_stats": whole_column_stats,
+    "exact_amounts": exact_amounts,
+    "append_keyed": append_keyed,
+    "switched_day": switched_day,
+    "content_gate": content_gate,
+    "late_rows": late_rows,
+    "rejected_rows": rejected_rows,
+    "sent_files": sent_files,
     "retention_removal": retention_removal,
     "source_files": source_files,
     "stored_keys": stored_keys,

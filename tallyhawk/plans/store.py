@@ -7,14 +7,23 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Store:
-    """Every path is under one root that all executors can reach."""
+    """Every path is under one root that all executors can reach.
+
+    With a ``database``, the transactions and marts are tables of it in the catalog, whose dates are replaced in
+    one step (``sinks.dated``); without, they are folders by date, and a date is emptied and written again.
+    """
 
     root: str
+    database: str | None = None
 
     @property
     def raw(self) -> str:
         return f"{self.root}/raw"
 
+    @property
+    def rejects(self) -> str:
+        return f"{self.root}/rejected"
+
     @property
     def transactions(self) -> str:
         return f"{self.root}/credit_card_transactions"
@@ -38,3 +47,15 @@ class Store:
     @property
     def csv_copy(self) -> str:
         return f"{self.root}/credit_card_transactions_csv"
+
+    @property
+    def hour_totals(self) -> str:
+        return f"{self.root}/hour_totals"
+
+    @property
+    def journal(self) -> str:
+        return f"{self.root}/run_journal"
+
+    def table(self, path: str) -> str:
+        """The name in the catalog of the table at one of the paths above."""
+        return f"`{self.database}`.`{path.rsplit('/', 1)[-1]}`"

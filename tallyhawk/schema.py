@@ -93,6 +93,21 @@ HOURLY_SCHEMA = T.StructType(
     ]
 )
 
+# Hour totals as they are stored: counts, and each amount as an exact sum in parts.
+HOUR_TOTALS_SCHEMA = T.StructType(
+    [
+        T.StructField(HOUR, T.IntegerType()),
+        *(T.StructField(n, T.LongType()) for n in ("n", "n_fraud", "amount_n", "fraud_amount_n", "normal_amount_n")),
+        *(
+            T.StructField(f"{name}_{part}", T.DoubleType() if part == "beyond" else T.DecimalType(38, 0))
+            for name in ("amount", "fraud_amount", "normal_amount")
+            for part in ("whole", "high", "low", "beyond")
+        ),
+        T.StructField(DATE, T.DateType()),
+        T.StructField("batch", T.StringType()),
+    ]
+)
+
 
 def original_columns(names: list[str]) -> list[str]:
     """The columns that arrived with the data: all but the engineered ones."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
@@ -15,6 +16,7 @@ from tallyhawk.schema import (
     JDBC_BATCH_ROWS,
     TRANSACTIONS_SCHEMA,
 )
+from tallyhawk.sources import storage
 
 # Stored tables with the columns that split them into directories.
 STORED_TABLES = {
@@ -22,6 +24,8 @@ STORED_TABLES = {
     "fraud_summary": (DAILY_SCHEMA, (DATE,)),
     "hourly_fraud_stats": (HOURLY_SCHEMA, (DATE,)),
 }
+# Size of the files that classes are evened out to.
+FILE_BYTES = 128 * 1024 * 1024
 # Columns that are searched by range: sorted files let readers skip row groups.
 SEARCH_ORDER = ("hour_of_day", "amount")
 
@@ -45,6 +49,35 @@ def write_by_class(
     _replacing(rows).partitionBy(label).parquet(path)
 
 
+def even_files(
+    spark: SparkSession,
+    path: str,
+    label: str,
+    order: tuple[str, ...] = SEARCH_ORDER,
+    file_bytes: int = FILE_BYTES,
+) -> list[str]:
+    """Rewrite the classes whose files are much smaller than they could be; returns their folders.
+
+    Every writing task leaves a file of each class, which for a rare one are tiny. What a class holds is measured
+    from its written files, and only rows of such classes move, into files of about ``file_bytes``; a large class
+    is neither read nor shuffled. Call it before the folder is read by others, as the write itself.
+    """
+    small = []
+    for name in storage.child_folders(spark, path):
+        found = storage.content(spark, f"{path}/{name}")
+        files = -(-found.total_bytes // file_bytes)
+        if not name.startswith(f"{label}=") or found.n_files <= 2 * files:
+            continue
+        rows = spark.read.parquet(f"{path}/{name}")
+        rows = rows.repartition(files).sortWithinPartitions(*_present(rows, order))
+        fresh = f"{path}/_{name}-{uuid.uuid4().hex}"
+        rows.write.parquet(fresh)
+        storage.delete(spark, f"{path}/{name}")
+        storage.move(spark, fresh, f"{path}/{name}")
+        small.append(name)
+    return small
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """CSV with a header, in as many parts as the data has.
 
@@ -115,6 +148,19 @@ def create_tables(spark: SparkSession, root: str, database: str = "default") ->
     return names
 
 
+def create_keyed(spark: SparkSession, name: str, schema: T.StructType, keys: list[str], buckets: int) -> None:
+    """A table in ``buckets`` of its keys, if it is missing: joins by these keys move the other side only.
+
+    About one bucket per GiB that the table will hold keeps a bucket within a task's memory.
+    """
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    by = ", ".join(f"`{k}`" for k in keys)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+        f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS"
+    )
+
+
 def create_table(
     spark: SparkSession,
     name: str,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -41,3 +42,56 @@ def delete(spark: SparkSession, path: str) -> None:
     """Remove a path and all below it, if it is there."""
     located, system = _located(spark, path)
     system.delete(located, True)
+
+
+@dataclass(frozen=True)
+class File:
+    path: str
+    n_bytes: int
+    modified: int
+
+
+def files_below(spark: SparkSession, path: str) -> list[File]:
+    """Every data file at or below a path, by path; names that readers skip are left out."""
+    located, system = _located(spark, path)
+    if not system.exists(located):
+        return []
+    found, entries = [], system.listFiles(located, True)
+    while entries.hasNext():
+        status = entries.next()
+        name = status.getPath().getName()
+        if not name.startswith(("_", ".")):
+            found.append(File(status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return sorted(found, key=lambda f: f.path)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file as text; None if it is not there."""
+    located, system = _located(spark, path)
+    if not system.exists(located):
+        return None
+    stream = system.open(located)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, complete before it has its name."""
+    located, system = _located(spark, path)
+    unfinished = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = system.create(unfinished, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    system.delete(located, False)
+    system.rename(unfinished, located)
+
+
+def move(spark: SparkSession, old: str, new: str) -> None:
+    """Give a path another name in the same file system."""
+    located, system = _located(spark, old)
+    if not system.rename(located, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(new)):
+        raise OSError(f"{old} could not become {new}")

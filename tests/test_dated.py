@@ -1,0 +1,195 @@
+"""Dates that are replaced in one step: what readers see if a run dies at any point."""
+
+from datetime import date, datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyhawk.operators import gates
+from tallyhawk.plans import daily, load
+from tallyhawk.plans.store import Store
+from tallyhawk.sinks import dated
+from tests.rows import random_raw_rows, raw_row, write_raw_csv
+
+D1, D2 = date(2024, 1, 1), date(2024, 1, 2)
+SCHEMA = "date_processed date, n int, class int"
+RUN = datetime(2024, 1, 20, 3, 4, 5)
+LIMITS = gates.Limits(min_rows=100)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS dated_tests")
+    name = f"dated_tests.t{abs(hash(str(tmp_path)))}"
+    dated.declare(spark, name, frame(spark, []).schema, str(tmp_path / "it's here"))
+    yield name
+    spark.sql(f"DROP TABLE {name}")
+
+
+def content(spark, table):
+    return sorted(tuple(r) for r in spark.table(table).select("date_processed", "n", "class").collect())
+
+
+def test_one_date_is_replaced_and_others_stay(spark, table):
+    dated.replace_date(frame(spark, [(D1, 1, 0), (D1, 2, 1)]), table, D1)
+    dated.replace_date(frame(spark, [(D2, 3, 0)]), table, D2)
+    first = dated.date_folder(spark, table, D1)
+    for _ in range(2):
+        dated.replace_date(frame(spark, [(D1, 7, 1)]), table, D1)
+    assert content(spark, table) == [(D1, 7, 1), (D2, 3, 0)]
+    plan = spark.table(table).where(F.col("date_processed") == F.lit(D2))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date_processed" in plan
+    # The folder that was replaced stays until it is asked for.
+    assert spark.read.parquet(first).count() == 2
+    assert len(dated.remove_superseded(spark, table, D1)) == 2 and dated.remove_superseded(spark, table, D1) == []
+    assert content(spark, table) == [(D1, 7, 1), (D2, 3, 0)]
+
+
+def test_a_run_that_dies_before_the_switch_leaves_the_old_rows(spark, table, monkeypatch):
+    dated.replace_date(frame(spark, [(D1, 1, 0)]), table, D1)
+
+    def dies(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(dated, "point_at", dies)
+        for day in (D1, D2):
+            with pytest.raises(KeyboardInterrupt):
+                dated.replace_date(frame(spark, [(day, 5, 0), (day, 6, 0)]), table, day)
+    assert content(spark, table) == [(D1, 1, 0)]
+    assert dated.date_folder(spark, table, D2) is None
+    dated.replace_date(frame(spark, [(D1, 9, 0)]), table, D1)
+    assert content(spark, table) == [(D1, 9, 0)]
+    assert len(dated.remove_superseded(spark, table, D1)) == 2 and len(dated.remove_superseded(spark, table, D2)) == 1
+
+
+def test_a_write_that_fails_half_way_is_not_seen(spark, table):
+    dated.replace_date(frame(spark, [(D1, 1, 0)]), table, D1)
+    bad = frame(spark, [(D1, 0, 0), (D1, 4, 0)]).withColumn("n", (F.lit(4) / F.col("n")).cast("int"))
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        dated.replace_date(bad, table, D1)
+    assert content(spark, table) == [(D1, 1, 0)]
+
+
+ROWS = random_raw_rows(600)
+
+
+@pytest.fixture(scope="module")
+def stores(spark, tmp_path_factory):
+    base = tmp_path_factory.mktemp("catalog")
+    source = write_raw_csv(base / "in" / "a.csv", ROWS)
+    plain, catalog = Store(str(base / "plain")), Store(str(base / "catalog"), "run_in_catalog")
+    for store in (plain, catalog):
+        daily.run_day(spark, source, store, RUN, LIMITS)
+    return source, plain, catalog
+
+
+def tables_of(spark, store):
+    days = (load.stored_transactions(spark, store, RUN.date()), load.daily_mart(spark, store), load.hourly_mart(spark, store))
+    return [sorted(str(sorted(r.asDict().items())) for r in df.collect()) for df in days]
+
+
+def test_a_store_in_the_catalog_holds_the_same(spark, stores):
+    source, plain, catalog = stores
+    assert tables_of(spark, plain) == tables_of(spark, catalog)
+    daily.run_day(spark, source, catalog, RUN, LIMITS)
+    assert tables_of(spark, plain) == tables_of(spark, catalog)
+
+
+def test_a_run_that_dies_leaves_the_date_of_the_catalog_readable(spark, stores, tmp_path, monkeypatch):
+    _, _, catalog = stores
+    before = tables_of(spark, catalog)
+    source = write_raw_csv(tmp_path / "in" / "b.csv", ROWS[:300])
+
+    def dies(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(dated, "point_at", dies)
+        with pytest.raises(KeyboardInterrupt):
+            daily.run_day(spark, source, catalog, RUN, LIMITS)
+    assert tables_of(spark, catalog) == before
+    result = daily.run_day(spark, source, catalog, RUN, LIMITS)
+    assert result.rows_stored == 300 and result.resumed == ["land", "raw_gate", "raw_classes"]
+    assert load.stored_transactions(spark, catalog, RUN.date()).count() == 300
+
+
+STEPS = [
+    ("tallyhawk.plans.daily.check_raw", ["land"]),
+    ("tallyhawk.plans.load.write_transactions", ["land", "raw_gate", "raw_classes"]),
+    ("tallyhawk.plans.daily.write_statistics", ["land", "raw_gate", "raw_classes", "store"]),
+    ("tallyhawk.plans.load.load_marts", ["land", "raw_gate", "raw_classes", "store", "statistics"]),
+    ("tallyhawk.plans.load.validate_load", ["land", "raw_gate", "raw_classes", "store", "statistics", "marts"]),
+]
+
+
+@pytest.mark.parametrize("dies_in, done", STEPS)
+def test_the_next_try_goes_on_behind_the_last_step(spark, stores, tmp_path, monkeypatch, dies_in, done):
+    source, plain, _ = stores
+    store = Store(str(tmp_path / "out"))
+
+    def dies(*_, **__):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(dies_in, dies)
+        with pytest.raises(KeyboardInterrupt):
+            daily.run_day(spark, source, store, RUN, LIMITS)
+    result = daily.run_day(spark, source, store, RUN, LIMITS)
+    assert result.resumed == done
+    assert tables_of(spark, store) == tables_of(spark, plain)
+    whole = daily.run_day(spark, source, store, RUN, LIMITS)
+    assert whole.resumed == [] and (whole.report, whole.raw_classes, whole.raw_gate) == (result.report, result.raw_classes, result.raw_gate)
+    assert whole.raw_metrics == result.raw_metrics
+
+
+def test_other_files_begin_anew(spark, tmp_path, monkeypatch):
+    store = Store(str(tmp_path / "out"))
+    source = write_raw_csv(tmp_path / "in" / "a.csv", ROWS)
+    with monkeypatch.context() as m:
+        m.setattr(load, "load_marts", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            daily.run_day(spark, source, store, RUN, LIMITS)
+    write_raw_csv(tmp_path / "in" / "b.csv", [raw_row(5.0, 3.25, 1, fill=9.0)])
+    result = daily.run_day(spark, source, store, RUN, LIMITS)
+    assert result.resumed == [] and result.rows_stored == len(set(ROWS)) + 1
+
+
+def test_one_changed_cell_stops_the_run(spark, stores, tmp_path, monkeypatch):
+    """A row that is stored otherwise than it was counted: same number of rows, another content."""
+    source = stores[0]
+    real = load._replace
+
+    def spoils(df, store, path, *rest):
+        if path == store.transactions:
+            least = df.agg(F.min("amount")).first()[0]
+            df = df.withColumn("amount", F.when(F.col("amount") == least, F.col("amount") + 0.01).otherwise(F.col("amount")))
+        real(df, store, path, *rest)
+
+    with monkeypatch.context() as m:
+        m.setattr(load, "_replace", spoils)
+        with pytest.raises(gates.GateFailed, match="^stored_digests_apart is 2.0"):
+            daily.run_day(spark, source, Store(str(tmp_path / "out")), RUN, LIMITS)
+
+
+def test_late_rows_add_to_the_marts_of_their_dates(spark, tmp_path):
+    schema = "date_processed date, hour_of_day double, amount double, class int"
+    rows = [(D1 + timedelta(days=k % 4), k % 24 + 0.5, 0.1 * k, k % 7 == 0) for k in range(800)]
+    df = spark.createDataFrame([(*x[:3], int(x[3])) for x in rows], schema).orderBy("amount")
+    store, whole = Store(str(tmp_path / "late")), Store(str(tmp_path / "whole"))
+    load.rebuild_marts(df, whole, RUN)
+    early = F.col("amount") < 50
+    load.store_totals(load.marts.hour_totals(df.where(early)), store, load.FIRST_BATCH)
+    load.rebuild_marts(df.where(early), store, RUN)
+    for _ in range(2):
+        assert load.load_late(df.where(~early & (F.col("date_processed") != F.lit(D2))), store, RUN, "l1") == [D1, D1 + timedelta(days=2), D1 + timedelta(days=3)]
+    assert load.daily_mart(spark, store).where(F.col("date_processed") == F.lit(D2)).first()["total_transactions"] == 125
+    load.load_late(df.where(~early & (F.col("date_processed") == F.lit(D2))), store, RUN, "l2")
+    for mart in (load.daily_mart, load.hourly_mart):
+        assert sorted(map(str, mart(spark, store).collect())) == sorted(map(str, mart(spark, whole).collect()))
+    with pytest.raises(ValueError, match="run"):
+        load.load_late(df, store, RUN, load.FIRST_BATCH)
