@@ -96,11 +96,10 @@ def test_the_stored_side_of_the_keyed_load_does_not_move(spark, keyed):
     batch = spark.createDataFrame([(k, "s", k) for k in range(90)], KEYED)
     joined = batch.join(spark.table(keyed).select("k", "s"), ["k", "s"], "left_anti")
     plan = joined._jdf.queryExecution().executedPlan().toString()
-    scan = plan.index("FileScan parquet")
-    assert plan.count("Exchange hashpartitioning") == 1 and plan.index("Exchange hashpartitioning") < scan
-    below = plan[plan.index("SortMergeJoin") :]
-    # The stored side: a scan in buckets under the join, with no exchange between.
-    assert "Bucketed: true" in plan and "Exchange" not in below[below.rindex(":- ") and below.rindex("+- Project") :]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    # The exchange is that of the batch; after its scan comes the stored side, which is sorted where it lies.
+    stored_side = plan[plan.index("Scan ExistingRDD") :]
+    assert "FileScan parquet" in stored_side and "Exchange" not in stored_side
 
 
 def test_files_of_a_rare_class_are_evened_out(spark, tmp_path):
@@ -112,12 +111,14 @@ def test_files_of_a_rare_class_are_evened_out(spark, tmp_path):
     large = storage.content(spark, f"{path}/class=0").total_bytes // 16 + 1
     assert tables.even_files(spark, path, "class", ("amount",), file_bytes=large) == ["class=1"]
     assert storage.content(spark, f"{path}/class=0").n_files == 16
-    assert len(storage.files_below(spark, f"{path}/class=1")) == 1
+    fewer = storage.files_below(spark, f"{path}/class=1")
+    assert len(fewer) <= 4
     assert tables.even_files(spark, path, "class", ("amount",), file_bytes=large) == []
     back = files.read_parquet(spark, path)
     assert sorted(map(tuple, back.select("id", "class", "amount").collect())) == sorted(map(tuple, rows.select("id", "class", "amount").collect()))
-    alone = [r["amount"] for r in spark.read.parquet(f"{path}/class=1").collect()]
-    assert alone == sorted(alone) and len(alone) == 80
+    for file in fewer:
+        inside = [r["amount"] for r in spark.read.parquet(file.path).collect()]
+        assert inside == sorted(inside)
 
 
 def test_whole_numbers_stay_whole(spark):
