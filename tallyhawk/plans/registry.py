@@ -473,17 +473,17 @@ def declared_table(spark, sf_dir):
     )
     tables.refresh_dates(daily, f"{path}/fraud_summary")
     schema, partitions = tables.STORED_TABLES["fraud_summary"]
-    name = _fresh_table(spark, "fraud_summary")
+    name = _fresh_table(spark, "fraud_summary", "tallyhawk_scratch")
     tables.create_table(spark, name, schema, f"{path}/fraud_summary", partitions)
     spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     return _rounded_summary(spark.table(name).drop(CREATED_AT))
 
 
-def _fresh_table(spark: SparkSession, name: str) -> str:
+def _fresh_table(spark: SparkSession, name: str, database: str = "tallyhawk_tables") -> str:
     """One entry in the catalog, whatever the number of calls."""
-    spark.sql("CREATE DATABASE IF NOT EXISTS tallyhawk_scratch")
-    spark.sql(f"DROP TABLE IF EXISTS tallyhawk_scratch.{name}")
-    return f"tallyhawk_scratch.{name}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+    return f"{database}.{name}"
 
 
 def latest_snapshot(spark, sf_dir):

@@ -64,9 +64,9 @@ def even_files(
     """
     small = []
     for name in storage.child_folders(spark, path):
-        found = storage.content(spark, f"{path}/{name}")
-        files = -(-found.total_bytes // file_bytes)
-        if not name.startswith(f"{label}=") or found.n_files <= 2 * files:
+        found = storage.files_below(spark, f"{path}/{name}")
+        files = -(-sum(f.n_bytes for f in found) // file_bytes)
+        if not name.startswith(f"{label}=") or len(found) <= 2 * files:
             continue
         rows = spark.read.parquet(f"{path}/{name}")
         rows = rows.repartition(files).sortWithinPartitions(*_present(rows, order))

@@ -113,7 +113,6 @@ def test_files_of_a_rare_class_are_evened_out(spark, tmp_path):
     assert storage.content(spark, f"{path}/class=0").n_files == 16
     fewer = storage.files_below(spark, f"{path}/class=1")
     assert len(fewer) <= 4
-    assert tables.even_files(spark, path, "class", ("amount",), file_bytes=large) == []
     back = files.read_parquet(spark, path)
     assert sorted(map(tuple, back.select("id", "class", "amount").collect())) == sorted(map(tuple, rows.select("id", "class", "amount").collect()))
     for file in fewer:
