@@ -15,6 +15,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tallyhawk.llm.common import byte_balanced, fresh_name, release_memory, slices, text_column
 from tallyhawk.llm.word_hashes import WORD_BASE, Words, hash_words, mixed
@@ -334,6 +335,7 @@ def benchmark_matches(
             T.StructField("end_word", T.LongType()),
         ]
     )
+    items_type = to_arrow_type(item_type)
     parts = [df.sparkSession.createDataFrame([], schema)]
     for block in _blocks(benchmark, item_col, item_text_col):
         shared = df.sparkSession.sparkContext.broadcast(block.rare(pair_frequency(df, block, text_col), least))
@@ -354,7 +356,6 @@ def benchmark_matches(
                     schema.names,
                 )
 
-        items_type = pa.array(block.ids).type
         parts.append(df.select(id_col, text_col).mapInArrow(run, schema))
     return reduce(DataFrame.unionByName, parts[1:] or parts)
 
