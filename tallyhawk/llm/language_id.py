@@ -6,7 +6,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,8 +17,6 @@ ORDERS = (1, 2, 3)
 #: Hash buckets; with languages they bound the broadcast matrix and the rows a task counts.
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
-#: Languages that a model may hold. More distinct values than this are an error, not a cut.
-MOST_LANGUAGES = 1000
 #: Of the n-grams of a text, how many count as independent evidence: neighbours overlap.
 EVIDENCE = 0.1
 UNDETERMINED = "und"
@@ -104,19 +101,16 @@ def gram_counts(df: DataFrame, lang_col: str, text_col: str) -> DataFrame:
 
 def fit(df: DataFrame, lang_col: str = "lang", text_col: str = "text") -> LanguageModel:
     """Log-probabilities from all rows of `df` with a language; at most languages x (BUCKETS + 1) counts reach the driver."""
-    counted = gram_counts(df.where(F.col(lang_col).isNotNull()), lang_col, text_col)
-    rows = counted.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("counts")).limit(MOST_LANGUAGES + 1)
-    found = {lang: pd.DataFrame(counts, columns=["bucket", "n"]) for lang, counts in rows.collect()}
-    if len(found) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    languages = sorted(found)
+    found = gram_counts(df.where(F.col(lang_col).isNotNull()), lang_col, text_col).toArrow()
+    names = found["lang"].combine_chunks().dictionary_encode()
+    languages = sorted(names.dictionary.to_pylist())
+    rank = {lang: k for k, lang in enumerate(languages)}
+    column = np.array([rank[x] for x in names.dictionary.to_pylist()], np.int64)[names.indices.to_numpy()]
+    bucket, n = found["bucket"].to_numpy(), found["n"].to_numpy()
     counts = np.zeros((BUCKETS, len(languages)))
     docs = np.zeros(len(languages))
-    for k, lang in enumerate(languages):
-        row = found[lang]
-        docs[k] = row.loc[row["bucket"] == -1, "n"].sum()
-        own = row[row["bucket"] >= 0]
-        counts[own["bucket"].to_numpy(), k] = own["n"].to_numpy()
+    docs[column[bucket < 0]] = n[bucket < 0]
+    counts[bucket[bucket >= 0], column[bucket >= 0]] = n[bucket >= 0]
     smooth = counts + SMOOTHING
     log_probs = np.log(smooth / smooth.sum(axis=0)).astype(np.float32) if languages else counts.astype(np.float32)
     return LanguageModel(languages, log_probs, np.log((docs + 1) / (docs.sum() + len(languages))) if languages else docs)
@@ -156,7 +150,7 @@ def language_id(
     is null or has no letter gets `und` with score 0, and so does every text if nothing could be learned.
     Equal probabilities go to the language that sorts first. Repeated rows give repeated results, an empty
     table gives an empty result, other columns are not read. The matrix that is broadcast has BUCKETS rows
-    and a column per language; its size doesn't depend on the number of texts.
+    and a column per language (128 KiB each); its size doesn't depend on the number of texts.
     """
     is_training = F.coalesce(training, F.lit(False))
     model = df.sparkSession.sparkContext.broadcast(fit(df.where(is_training), lang_col, text_col))
