@@ -8,11 +8,12 @@ hashed words, which scores every text.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -48,54 +49,84 @@ VOTERS = (*LEXICONS, *PATTERNS, *(f"mined {i}" for i in range(MINED_VOTERS)))
 LABEL_ACCURACY = 0.97
 HASH_BITS = 17
 THRESHOLD = 0.7
-#: Tokens kept in a task's memory, those met first, and the longest that is kept.
-MEMO_TOKENS, MEMO_CHARS = 120_000, 40
+#: Tokens kept in a task's memory, and the longest that is kept for long.
+MEMO_TOKENS, MEMO_CHARS = 300_000, 40
+#: A token's number: bits that count its buckets, below its weight in parts of a unit.
+COUNT_BITS, WEIGHT_UNIT = 32, 1 << 30
 
 WORD = re.compile(r"[^\W\d_]+")
 
 
-@dataclass
-class Votes:
-    """Which voters fire on a text."""
+class KnownTokens(dict):
+    """What is known of tokens, as one number each, so that a text's tokens add up to all that its score needs.
+
+    The low bits count a token's hash buckets, the high ones are its weight in fixed point; sums of such numbers
+    don't depend on the order of tokens. Tokens in which a word voter fires are in `fired`, with the voters' bits.
+    There are two generations: a token that is looked up stays, one that isn't goes with the older of them.
+    """
 
-    stems: dict[str, int] = field(default_factory=dict)
-    known: dict[str, tuple[int, tuple[int, ...], bool]] = field(default_factory=dict)
-
-    def token(self, token: str) -> tuple[int, tuple[int, ...], bool]:
-        """Bits of the word voters, hash buckets, and whether a token addresses somebody."""
-        found = self.known.get(token)
-        if found is None:
-            found = self._look_up(token)
-            if len(token) <= MEMO_CHARS and len(self.known) < MEMO_TOKENS:
-                self.known[token] = found
-        return found
-
-    def _look_up(self, token: str) -> tuple[int, tuple[int, ...], bool]:
-        bits, buckets, address = 0, [], False
-        for word in WORD.findall(token):
+    def __init__(self, stems: dict[str, int], weights: np.ndarray | None = None):
+        super().__init__()
+        self.stems, self.weights = stems, None if weights is None else weights.tolist()
+        self.beginnings = {stem[: STEM_LENGTHS[0]] for stem in stems}
+        self.older: dict[str, int] = {}
+        self.fired: dict[str, int] = {}
+
+    def __missing__(self, token: str) -> int:
+        known = self.older.get(token)
+        if known is None:
+            known = self._look_up(token)
+        self[token] = known
+        return known
+
+    def _look_up(self, token: str) -> int:
+        words = [token] if token.isalpha() else WORD.findall(token)
+        bits = 0
+        for word in words:
             bits |= _LEXICON_BITS.get(word, 0)
-            for stem in stems_of(word):
+            for stem in stems_of(word) if word[: STEM_LENGTHS[0]] in self.beginnings else ():
                 if stem in self.stems:
                     bits |= 1 << (len(LEXICONS) + len(PATTERNS) + self.stems[stem])
-            buckets += [zlib.crc32(x.encode()) >> (32 - HASH_BITS) for x in {word, word[:5]}]
-            address |= word in ADDRESS
-        return bits, tuple(buckets), address
+        if bits:
+            self.fired[token] = bits
+        if self.weights is None:
+            return 0
+        places = buckets_of(words)
+        return (round(sum(self.weights[b] for b in places) * WEIGHT_UNIT) << COUNT_BITS) + len(places)
+
+    def age(self) -> None:
+        """Begin a new generation where this one is full, and let go of tokens too long to be met again."""
+        if len(self) > MEMO_TOKENS // 2:
+            self.older = {token: known for token, known in self.items() if len(token) <= MEMO_CHARS}
+            self.clear()
+            self.fired = {token: bits for token, bits in self.fired.items() if token in self.older}
+
 
-    def of(self, text: str) -> tuple[int, set[str]]:
-        """The votes as bits, and the distinct tokens."""
+def buckets_of(words: list[str]) -> list[int]:
+    """Hash buckets of the words of a token and of their beginnings."""
+    return [zlib.crc32(x.encode()) >> (32 - HASH_BITS) for word in words for x in {word, word[:5]}]
+
+
+class Votes:
+    """Which voters fire on a text."""
+
+    def __init__(self, stems: dict[str, int], weights: np.ndarray | None = None):
+        self.known = KnownTokens(stems, weights)
+
+    def of(self, text: str) -> tuple[int, int, set[str]]:
+        """The votes as bits, the sum of what is known of the distinct tokens, and these."""
+        self.known.age()
         tokens = text.lower().split()
         distinct = set(tokens)
-        bits = 0
-        hits = set()
-        for token in distinct:
-            own = self.token(token)[0]
-            if own:
-                bits |= own
-                hits.add(token)
-        first = len(LEXICONS)
+        total = sum(map(self.known.__getitem__, distinct))
+        bits, first = 0, len(LEXICONS)
+        hits = self.known.fired.keys() & distinct
         if hits:
+            for token in hits:
+                bits |= self.known.fired[token]
             places = [i for i, x in enumerate(tokens) if x in hits]
-            if any(self.token(x)[2] for i in places for x in tokens[max(0, i - 5) : i + 6]):
+            near = set().union(*(tokens[max(0, i - 5) : i + 6] for i in places))
+            if any(word in ADDRESS for x in near for word in WORD.findall(x)):
                 bits |= 1 << first
             if len(places) >= 3:
                 bits |= 1 << (first + 1)
@@ -103,7 +134,7 @@ class Votes:
             bits |= 1 << (first + 2)
         if text.count("!!") >= 3:
             bits |= 1 << (first + 3)
-        return bits, distinct
+        return bits, total, distinct
 
 
 _LEXICON_BITS = {word: 1 << i for i, words in enumerate(LEXICONS.values()) for word in words}
@@ -259,24 +290,14 @@ class Scorer:
 
     def __init__(self, model: ToxicityModel):
         self.model = model
-        self.voters = Votes(model.stems)
-        self.shares: dict[str, tuple[float, int]] = {}
+        self.voters = Votes(model.stems, model.words)
 
     def score(self, text: str) -> float:
-        bits, tokens = self.voters.of(text)
-        total, n = 0.0, 0
-        for token in tokens:
-            share = self.shares.get(token)
-            if share is None:
-                buckets = self.voters.token(token)[1]
-                share = (float(self.model.words[list(buckets)].sum()), len(buckets))
-                if len(token) <= MEMO_CHARS and len(self.shares) < MEMO_TOKENS:
-                    self.shares[token] = share
-            total += share[0]
-            n += share[1]
-        logit = self.model.bias + total / np.sqrt(max(n, 1))
+        bits, total, _ = self.voters.of(text)
+        n = total & ((1 << COUNT_BITS) - 1)
+        logit = self.model.bias + (total >> COUNT_BITS) / WEIGHT_UNIT / math.sqrt(max(n, 1))
         logit += sum(w for j, w in enumerate(self.model.votes) if bits >> j & 1)
-        return float(1 / (1 + np.exp(-np.clip(logit, -40, 40))))
+        return 1 / (1 + math.exp(-min(max(float(logit), -40.0), 40.0)))
 
 
 def mined_stems(rows: DataFrame, text_col: str, label_col: str) -> dict[str, int]:
@@ -377,10 +398,10 @@ def fit_toxicity(
         for batch in slices(batches):
             masks, buckets = [], []
             for text in text_column(batch, "text"):
-                bits, tokens = voters.of(text)
+                bits, _, tokens = voters.of(text)
                 masks.append(bits)
                 # In an order of their own, so that sums don't depend on that of a set.
-                buckets.append(np.sort(np.array([b for x in tokens for b in voters.token(x)[1]], np.int32)).tobytes())
+                buckets.append(np.sort(np.array([b for x in tokens for b in buckets_of(WORD.findall(x))], np.int32)).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(masks, pa.int32()), batch.column("label"), pa.array(buckets, pa.binary())], ["mask", "label", "buckets"])
 
     rows = labelled.mapInArrow(features, "mask int, label int, buckets binary").limit(2 * rows_per_class).toArrow()
