@@ -24,6 +24,8 @@ POOL_TOKENS = 2_000_000
 LEAST_FRAGMENT = 16
 #: Words kept in a worker's memory, and the longest that is kept.
 MEMO_WORDS, MEMO_CHARS = 400_000, 40
+#: New words that the tokenizer gets in one string.
+JOINED_WORDS = 100
 
 PIECES = T.StructType(
     [
@@ -38,6 +40,33 @@ PIECES = T.StructType(
 )
 
 
+class KnownWords(dict):
+    """Ids of words in two generations: what is looked up stays, what isn't goes with the older one.
+
+    A word that neither knows is noted in `unknown` and has no ids yet.
+    """
+
+    def __init__(self) -> None:
+        super().__init__({"": b""})
+        self.older: dict[str, bytes] = {}
+        self.unknown: set[str] = set()
+
+    def __missing__(self, word: str) -> bytes | None:
+        ids = self.older.get(word)
+        if ids is None:
+            self.unknown.add(word)
+        else:
+            self[word] = ids
+        return ids
+
+    def age(self) -> None:
+        """Begin a new generation where this one is full; together they hold MEMO_WORDS and a batch's."""
+        if len(self) > MEMO_WORDS // 2:
+            self.older = dict(self)
+            self.clear()
+            self[""] = b""
+
+
 class WordIds:
     """Ids of texts by a tokenizer that drops white space, so that the ids of words join to those of the text.
 
@@ -46,21 +75,37 @@ class WordIds:
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
-        self.known: dict[str, bytes] = {"": b""}
+        self.known = KnownWords()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        known = self.known if len(self.known) < MEMO_WORDS else {"": b""}
-        words = [x.replace("\n", " ").split(" ") for x in texts]
-        new = list(set().union(*words) - known.keys())
-        long_words = [x for x in new if len(x) > MEMO_CHARS]
-        for start, end in byte_balanced(new, 1 << 20):
-            encoded = self.tokenizer.encode_batch_fast(new[start:end], add_special_tokens=False)
-            known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new[start:end], encoded, strict=True))
-        ids = [b"".join([known[w] for w in x]) for x in words]
-        for word in long_words:
-            del known[word]
-        self.known = known
-        return ids
+        known, found, cut = self.known, [], []
+        for text in texts:
+            words = text.replace("\n", " ").split(" ")
+            found.append(list(map(known.__getitem__, words)))
+            cut.append(words)
+        if known.unknown:
+            fresh = self._encode(list(known.unknown))
+            known.unknown.clear()
+            for ids, words in zip(found, cut, strict=True):
+                if None in ids:
+                    ids[:] = [fresh[w] if x is None else x for x, w in zip(ids, words, strict=True)]
+            known.update((w, x) for w, x in fresh.items() if len(w) <= MEMO_CHARS)
+        known.age()
+        return list(map(b"".join, found))
+
+    def _encode(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words: many at a time, parted by a blank, their ids told apart by where they begin."""
+        parts = [words[i : i + JOINED_WORDS] for i in range(0, len(words), JOINED_WORDS)]
+        found: dict[str, bytes] = {}
+        for start, end in byte_balanced([" ".join(x) for x in parts], 1 << 20):
+            encoded = self.tokenizer.encode_batch([" ".join(x) for x in parts[start:end]], add_special_tokens=False)
+            for own, e in zip(parts[start:end], encoded, strict=True):
+                ids = np.array(e.ids, "<u4")
+                begins = np.cumsum([0, *(len(w) + 1 for w in own)])
+                cuts = (4 * np.searchsorted(np.array([x for x, _ in e.offsets], np.int64), begins)).tolist()
+                data = ids.tobytes()
+                found.update((w, data[i:j]) for w, i, j in zip(own, cuts, cuts[1:], strict=False))
+        return found
 
 
 class CapacityTree:
