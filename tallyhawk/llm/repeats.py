@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import ahocorasick
 import numpy as np
@@ -124,22 +125,23 @@ def passage_claims(df: DataFrame, texts: DataFrame, shards: int, id_col: str, te
     # Windows can be equal only if their marks are, so marks that occur once are left out first, by the cheapest rows.
     # They are stored, so that the join can split a mark that many documents have.
     recurring = stored(rows.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mark"))
-    candidates = stored(rows.join(recurring, "mark"))
-    heads = stored(
-        candidates.groupBy("words").agg(
-            F.min(F.struct("id", "place")).alias("head"), F.count(F.lit(1)).alias("n"), F.max("mark").alias("mark")
-        )
+    # A stretch that many documents have goes on as one row for each shard that has it.
+    folded = stored(
+        rows.join(recurring, "mark")
+        .groupBy(_shard(F.col("id"), shards).alias("shard"), "words")
+        .agg(F.min(F.struct("id", "place")).alias("own"), F.count(F.lit(1)).alias("n"), F.max("mark").alias("mark"))
     )
+    heads = stored(folded.groupBy("words").agg(F.min("own").alias("head"), F.sum("n").alias("n"), F.max("mark").alias("mark")))
     repeated = heads.where("n > 1").select("words", F.col("head.id").alias("head_id"), F.col("head.place").alias("head_place"))
     copies = (
-        candidates.select("words", "id", "place")
+        folded.select("shard", "words", "own", "n")
         .join(repeated, "words")
-        .where("id <> head_id OR place <> head_place")
+        .where("n > 1 OR own.id <> head_id OR own.place <> head_place")
         .select(
-            _shard(F.col("id"), shards).alias("shard"),
-            "words",
-            F.struct("id", F.shiftright("place", 5).alias("start")).alias("witness"),
-            (F.col("place").bitwiseAND(F.lit(31)) + WINDOW).alias("n"),
+            "shard",
+            "own.id",
+            F.shiftright("own.place", 5).alias("start"),
+            (F.col("own.place").bitwiseAND(F.lit(31)) + WINDOW).alias("n"),
             "head_id",
             F.shiftright("head_place", 5).alias("head_start"),
         )
@@ -147,22 +149,18 @@ def passage_claims(df: DataFrame, texts: DataFrame, shards: int, id_col: str, te
     several = stored(heads.groupBy("mark").agg(F.count(F.lit(1)).alias("variants")).where("variants > 1").select("mark"))
     unsettled = heads.join(several, "mark").select("head.id", "head.place")
     windows = _window_rows(texts, unsettled.select(_shard(F.col("id"), shards).alias("shard"), "id", "place"))
-    first = windows.groupBy("window").agg(F.min(F.struct("id", "start")).alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    parts = (
-        windows.join(first.select("window", F.col("head.id").alias("head_id"), F.col("head.start").alias("head_start")), "window")
-        .where("id <> head_id OR start <> head_start")
-        .select(
-            _shard(F.col("id"), shards).alias("shard"),
-            F.col("window").alias("words"),
-            F.struct("id", "start").alias("witness"),
-            F.lit(WINDOW).cast("long").alias("n"),
-            "head_id",
-            "head_start",
+    inside = stored(
+        windows.groupBy(_shard(F.col("id"), shards).alias("shard"), "window").agg(
+            F.min(F.struct("id", "start")).alias("own"), F.count(F.lit(1)).alias("n")
         )
     )
-    claims = copies.unionByName(parts)
-    once = claims.groupBy("shard", "words", "n", "head_id", "head_start").agg(F.min("witness").alias("witness"))
-    return once.select("shard", "witness.id", "witness.start", "n", "head_id", "head_start")
+    first = inside.groupBy("window").agg(F.min("own").alias("head"), F.sum("n").alias("n")).where("n > 1")
+    parts = (
+        inside.join(first.select("window", F.col("head.id").alias("head_id"), F.col("head.start").alias("head_start")), "window")
+        .where("n > 1 OR own.id <> head_id OR own.start <> head_start")
+        .select("shard", "own.id", "own.start", F.lit(WINDOW).cast("long").alias("n"), "head_id", "head_start")
+    )
+    return copies.unionByName(parts)
 
 
 def _removed(docs: list[tuple[int, list[bytes]]], claims: dict[str, list[int]]) -> list[np.ndarray | None]:
@@ -173,16 +171,17 @@ def _removed(docs: list[tuple[int, list[bytes]]], claims: dict[str, list[int]])
     """
     if not claims["id"]:
         return [None] * len(docs)
-    numbers: dict[bytes, int] = {}
-    coded = [tuple([numbers.setdefault(w, len(numbers)) for w in words]) for _, words in docs]
     by_id: dict[int, list[int]] = {}
     for i, (ident, _) in enumerate(docs):
         by_id.setdefault(ident, []).append(i)
+    # Words of passages have numbers from 1; all others are 0, which no passage holds.
+    numbers: dict[bytes, int] = {}
     heads: dict[tuple[int, ...], tuple[int, int]] = {}
     for ident, start, n, head_id, head_start in zip(*(claims[x] for x in ("id", "start", "n", "head_id", "head_start")), strict=True):
         for i in by_id.get(ident, ()):
-            passage = coded[i][start : start + n]
-            if len(passage) == n:
+            words = docs[i][1][start : start + n]
+            if len(words) == n:
+                passage = tuple([numbers.setdefault(w, len(numbers) + 1) for w in words])
                 head = (head_id, head_start)
                 heads[passage] = min(head, heads.get(passage, head))
     automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
@@ -190,16 +189,20 @@ def _removed(docs: list[tuple[int, list[bytes]]], claims: dict[str, list[int]])
         automaton.add_word(passage, (len(passage), head))
     automaton.make_automaton()
     removed: list[np.ndarray | None] = []
-    for (ident, _), words in zip(docs, coded, strict=True):
+    for ident, words in docs:
         edge = None
-        if len(words) >= WINDOW:
-            for end, (n, head) in automaton.iter(words):
-                start = end - n + 1
+        codes = np.fromiter(map(numbers.get, words, repeat(0)), np.int64, len(words))
+        bounds = np.concatenate([[-1], np.flatnonzero(codes == 0), [len(codes)]])
+        # Only stretches of so many words of passages can hold one.
+        for k in np.flatnonzero(np.diff(bounds) > WINDOW).tolist():
+            low = int(bounds[k]) + 1
+            for end, (n, head) in automaton.iter(tuple(codes[low : bounds[k + 1]].tolist())):
+                start = low + end - n + 1
                 if head < (ident, start):
                     if edge is None:
                         edge = np.zeros(len(words) + 1, np.int32)
                     edge[start] += 1
-                    edge[end + 1] -= 1
+                    edge[low + end + 1] -= 1
         removed.append(None if edge is None else np.cumsum(edge[:-1]) > 0)
     return removed
 
