@@ -68,16 +68,17 @@ def exact_moments(df: DataFrame, value: Column, mean: str = "mean", stddev: str
     Two passes over the one column: the first sums it, the second the distances from the mean and their squares.
     A deviation needs two values; equal values have exactly 0.
     """
-    x = value.cast("double")
-    first = df.agg(F.count(x).alias("n"), *exact_sum(x, "x"))
+    values = df.select(value.cast("double").alias("x"))
+    first = values.agg(F.count("x").alias("n"), *exact_sum(F.col("x"), "x"))
     center = first.select(F.try_divide(total("x"), F.col("n").cast("double"))).scalar()
-    away = x - center
-    second = df.agg(
-        F.count(x).alias("n"),
-        F.max(center).alias(mean),
-        (F.min(x) == F.max(x)).alias("_equal"),
-        *exact_sum(away, "away"),
-        *exact_sum(away * away, "square"),
+    # The distance is a column of its own, so that the plan holds the first pass once.
+    away = values.withColumn("center", center).withColumn("away", F.col("x") - F.col("center"))
+    second = away.agg(
+        F.count("x").alias("n"),
+        F.max("center").alias(mean),
+        (F.min("x") == F.max("x")).alias("_equal"),
+        *exact_sum(F.col("away"), "away"),
+        *exact_sum(F.col("away") * F.col("away"), "square"),
     )
     n = F.col("n").cast("double")
     spread = (total("square") - total("away") * total("away") / n) / (n - 1)

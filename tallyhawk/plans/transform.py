@@ -11,7 +11,7 @@ from tallyhawk.operators import distribution, profile
 from tallyhawk.operators.cleaning import clean, drop_incomplete
 from tallyhawk.operators.features import (
     Moments,
-    exact_amount_moments,
+    amount_moments,
     with_content_key,
     with_features,
     with_processing_time,
@@ -35,7 +35,7 @@ def transform(
     A row's id is made of the date of the run and its own values, unless the rows bring
     ids. The date is that of ``run_ts``, or of the current time.
     """
-    moments = exact_amount_moments(raw) if moments is None else moments
+    moments = amount_moments(raw) if moments is None else moments
     # The number of a row in this run says which copy stays, and keeps Spark from pushing the
     # filter over all columns below computed ones, where its constraints would double with each.
     identified = raw if ROW_ID in raw.columns else with_row_id(raw)

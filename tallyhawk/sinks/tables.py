@@ -59,14 +59,15 @@ def even_files(
     """Rewrite the classes whose files are much smaller than they could be; returns their folders.
 
     Every writing task leaves a file of each class, which for a rare one are tiny. What a class holds is measured
-    from its written files, and only rows of such classes move, into files of about ``file_bytes``; a large class
-    is neither read nor shuffled. Call it before the folder is read by others, as the write itself.
+    from its written files, and only rows of such classes move, into files of about ``file_bytes``; the largest
+    class is neither read nor shuffled. Call it before the folder is read by others, as the write itself.
     """
+    classes = {name: storage.files_below(spark, f"{path}/{name}") for name in storage.child_folders(spark, path) if name.startswith(f"{label}=")}
+    sizes = {name: sum(f.n_bytes for f in found) for name, found in classes.items()}
     small = []
-    for name in storage.child_folders(spark, path):
-        found = storage.files_below(spark, f"{path}/{name}")
-        files = -(-sum(f.n_bytes for f in found) // file_bytes)
-        if not name.startswith(f"{label}=") or len(found) <= 2 * files:
+    for name, found in classes.items():
+        files = -(-sizes[name] // file_bytes)
+        if len(found) <= 2 * files or sizes[name] == max(sizes.values()):
             continue
         rows = spark.read.parquet(f"{path}/{name}")
         rows = rows.repartition(files).sortWithinPartitions(*_present(rows, order))
