@@ -7,6 +7,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhawk.llm.common import byte_balanced, lowest_hashes
+from tallyhawk.llm.common import byte_balanced, lowest_hashes, slices
 
 # HTML elements by what they do to the text around them.
 BLOCK_TAGS = frozenset(
@@ -24,7 +25,11 @@ BLOCK_TAGS = frozenset(
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no text of the page.
-HIDDEN_TAGS = frozenset("script style noscript template svg math iframe object canvas textarea select button title".split())
+HIDDEN_TAGS = frozenset("script style noscript template svg annotation annotation-xml iframe object canvas textarea select button title".split())
+#: Of these, those whose content is no markup either, those that stand in for other content, and what never lies in the rest.
+RAW_TAGS = frozenset("script style".split())
+FALLBACK_TAGS = frozenset("noscript template iframe object canvas".split())
+NEVER_HIDDEN = frozenset("body article main section header footer nav aside form table".split())
 #: Elements that end an open one of the same kind.
 SELF_CLOSING = frozenset("p li dt dd tr td th option".split())
 
@@ -38,6 +43,12 @@ SIDE_NAMES = (
 )
 SIDE_TAGS = ("nav", "header", "footer", "aside", "form")
 MAIN_TAGS = ("article", "main")
+#: A header inside the article, in paths.
+OWN_HEADER = "own header"
+
+_MAIN_TAGS = frozenset(MAIN_TAGS)
+_MAIN_PARTS = _MAIN_TAGS | {f".{x}" for name in MAIN_NAMES for x in name.split("-")}
+_SIDE_PARTS = frozenset(SIDE_TAGS) | {f".{x}" for name in SIDE_NAMES for x in name.split("-")} - {".list"}
 
 #: Sizes of the hashed vectors, of the other features of a block, and of a direction's state.
 PATH_DIM, WORD_DIM, OTHER_DIM, HIDDEN = 192, 32, 6, 16
@@ -65,7 +76,10 @@ class Block:
 def blocks_of(page: str) -> list[Block]:
     """The texts between block-level tags in page order, with character references decoded and white space folded.
 
-    Hidden elements, comments and markup are left out; a tag that the end of the page cuts off is no text.
+    Hidden elements, comments and markup are left out; a tag that the end of the page cuts off is no text. A script, style
+    or comment that is never closed runs to the end of the page; any other hidden element that is left open ends where
+    `_hidden_end` says. The names of `html` and `body` aren't kept, nor is what a container of the whole page says of it
+    (`_without_page_wide`): they tell no block from another. A header inside the article is the article's own.
     """
     found: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
@@ -107,8 +121,7 @@ def blocks_of(page: str) -> list[Block]:
         name = name.lower()
         if name in HIDDEN_TAGS:
             if not tag.group(1) and not tag.group(3).endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(page, at)
-                at = end.end() if end else size
+                at = _hidden_end(page, name, at, {x for x, _ in stack})
             continue
         if name == "a":
             links = max(0, links - 1) if tag.group(1) else links + 1
@@ -125,11 +138,66 @@ def blocks_of(page: str) -> list[Block]:
                 if name in SELF_CLOSING and stack and stack[-1][0] == name:
                     stack.pop()
                 above = stack[-1][1] if stack else ()
-                names = _names(tag.group(3)) if tag.group(3) else ()
-                stack.append((name, (*above, name, *names)))
+                names = _names(tag.group(3)) if tag.group(3) and name not in ("html", "body") else ()
+                own = OWN_HEADER if name == "header" and not _MAIN_TAGS.isdisjoint(above) else name
+                stack.append((name, (*above, own, *names)))
             path = stack[-1][1] if stack else ()
     flush()
-    return found
+    return _without_page_wide(found)
+
+
+def _hidden_end(page: str, name: str, at: int, around: set[str]) -> int:
+    """Where the hidden element `name` ends whose content begins at `at`, inside elements of the names `around`.
+
+    That is behind its closing tag. If the element that holds it ends first, or another one of its name or something that
+    never lies in it begins, it was left open: then it ends before the first block in it, or where that happens.
+    """
+    if name in RAW_TAGS:
+        end = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, at)
+        return end.end() if end else len(page)
+    never = {"body"} if name in FALLBACK_TAGS else NEVER_HIDDEN
+    inside: list[str] = []
+    first = None
+    while tag := _TAG.search(page, at):
+        start, at = tag.start(), tag.end()
+        if tag.group(2) is None:
+            if page.startswith("<!--", start):
+                end = page.find("-->", at)
+                at = end + 3 if end >= 0 else len(page)
+            elif at == start:
+                break
+            continue
+        other, closes = tag.group(2).lower(), bool(tag.group(1))
+        if other == name:
+            if closes:
+                return at
+            return start if first is None else first
+        if closes:
+            if other in inside:
+                del inside[len(inside) - 1 - inside[::-1].index(other) :]
+            elif other in around or other in ("body", "html", "head"):
+                return start if first is None else first
+        elif other in never:
+            return start if first is None else first
+        elif other in RAW_TAGS:
+            at = _hidden_end(page, other, at, around)
+        elif other in BLOCK_TAGS and other not in VOID_TAGS:
+            inside.append(other)
+            first = start if first is None else first
+    return len(page) if first is None else first
+
+
+def _without_page_wide(blocks: list[Block]) -> list[Block]:
+    """The blocks without the side names of containers that all of them share, if the paths inside say what is what."""
+    if not blocks:
+        return blocks
+    shared = len(commonprefix([b.path for b in blocks]))
+    common = blocks[0].path[:shared]
+    telling = [x for x in common if x in _SIDE_PARTS]
+    if not telling or all(_SIDE_PARTS.isdisjoint(b.path[shared:]) and _MAIN_PARTS.isdisjoint(b.path[shared:]) for b in blocks):
+        return blocks
+    left = tuple(x for x in common if x not in _SIDE_PARTS)
+    return [Block((*left, *b.path[shared:]), b.text, b.linked) for b in blocks]
 
 
 def _names(attributes: str) -> tuple[str, ...]:
@@ -275,14 +343,22 @@ def train(pages: list[tuple[np.ndarray, np.ndarray]], epochs: int = EPOCHS, seed
     return model
 
 
-def silver_label(block: Block) -> int:
-    """What the names around a block say: any side container decides, then a main one, then length and links."""
-    parts = set(block.path)
-    if parts & set(SIDE_TAGS) or parts & {f".{x}" for name in SIDE_NAMES for x in name.split("-")} - {".list"}:
-        return 0
-    if parts & set(MAIN_TAGS) or parts & {f".{x}" for name in MAIN_NAMES for x in name.split("-")}:
-        return 1
-    return int(len(block.text.split()) >= 10 and 2 * block.linked < len(block.text))
+def silver_labels(blocks: list[Block]) -> list[int]:
+    """What a page says of its blocks: any side container decides, then a main one.
+
+    Where neither is around a block, its length and links do, and on a page without a main container the next such block:
+    a heading, or a short line between long ones, is what the text below it is.
+    """
+    named = [0 if not _SIDE_PARTS.isdisjoint(b.path) else 1 if not _MAIN_PARTS.isdisjoint(b.path) else None for b in blocks]
+    labels = [int(len(b.text.split()) >= 10 and 2 * b.linked < len(b.text)) if x is None else x for b, x in zip(blocks, named, strict=True)]
+    if 1 not in named:
+        below = 0
+        for i in range(len(blocks) - 1, -1, -1):
+            if named[i] is None:
+                if below and 2 * blocks[i].linked < len(blocks[i].text):
+                    labels[i] = 1
+                below = labels[i]
+    return labels
 
 
 def made_pages(texts: list[str], n: int = MADE_PAGES, seed: int = 1) -> list[tuple[list[Block], list[int]]]:
@@ -326,11 +402,16 @@ def made_pages(texts: list[str], n: int = MADE_PAGES, seed: int = 1) -> list[tup
         outer = ("html", "body") if rng.random() < 0.8 else ("html", "body", "div", f".{pick(('page', 'wrapper', 'container', 'site'))}")
         for _ in range(int(rng.integers(0, 4))):
             side(outer)
-        plain = rng.random() < 0.15
-        main = outer if plain else (*outer, *shell(MAIN_NAMES, MAIN_TAGS))
+        # Some articles stand in no container of their own, or in one that says nothing.
+        kind = rng.random()
+        main = outer if kind < 0.12 else (*outer, "div") if kind < 0.25 else (*outer, *shell(MAIN_NAMES, MAIN_TAGS))
         if rng.random() < 0.7:
-            blocks.append(Block((*main, pick(("h1", "h1", "h2"))), some(3, 12), 0))
+            own = (OWN_HEADER,) if not _MAIN_TAGS.isdisjoint(main) and rng.random() < 0.3 else ()
+            blocks.append(Block((*main, *own, pick(("h1", "h1", "h2"))), some(3, 12), 0))
             labels.append(1)
+            if own and rng.random() < 0.5:
+                blocks.append(Block((*main, *own, "p"), some(2, 30), 0))
+                labels.append(1)
         for _ in range(int(rng.integers(1, 12))):
             tag = pick(("p", "p", "p", "p", "p", "li", "blockquote", "h2", "pre", "td"))
             inner = (*main, "ul", "li") if tag == "li" else (*main, "table", "tr", "td") if tag == "td" else (*main, tag)
@@ -350,7 +431,7 @@ def fit_labeller(pages: DataFrame, id_col: str, html_col: str, sample: int = SAM
     """A labeller from made pages and from `sample` pages of the table, labelled by the names of their containers."""
     chosen = lowest_hashes(pages.where(F.col(html_col).isNotNull()).select(id_col, html_col), sample, id_col, html_col).select(html_col)
     parsed = [b for b in (blocks_of(row[0]) for row in chosen.collect()) if b]
-    examples = [(b, [silver_label(x) for x in b]) for b in parsed]
+    examples = [(b, silver_labels(b)) for b in parsed]
     examples += made_pages([x.text for b in parsed for x in b])
     known: dict[tuple[str, ...], np.ndarray] = {}
     return train([(features(b, known), np.array(y, np.float32)) for b, y in examples])
@@ -399,7 +480,7 @@ def page_texts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[tuple[str, ...], np.ndarray] = {}
-        for batch in batches:
+        for batch in slices(batches):
             pages = [x or "" for x in batch.column(html_col).to_pylist()]
             texts: list[str] = []
             for low, high in byte_balanced(pages):

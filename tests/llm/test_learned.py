@@ -105,6 +105,45 @@ def test_main_texts(spark):
     assert html_text.page_texts(pages.limit(0)).count() == 0
 
 
+ARTICLE = "<h1>Rivers and mills</h1><p>The first mill of the valley was built in the spring, long before the road.</p><p>It ground the corn of nine villages, and later sawed timber for the ships.</p>"
+ARTICLE_TEXT = "Rivers and mills\n\nThe first mill of the valley was built in the spring, long before the road.\n\nIt ground the corn of nine villages, and later sawed timber for the ships."
+MENU = "<nav><ul><li><a href=/>Home</a></li><li><a href=/n>News</a></li></ul></nav>"
+FOOT = "<footer><p>&copy; 2020</p></footer>"
+
+
+def test_open_elements_and_names_of_the_whole_page_lose_no_article(spark):
+    pages = [
+        f"<body>{MENU}<button>Menu<article>{ARTICLE}</article>{FOOT}</body>",
+        f"<body>{MENU}<svg><path d=x><article>{ARTICLE}</article>{FOOT}</body>",
+        f"<head><title>Mills</head><body>{MENU}<article>{ARTICLE}</article>{FOOT}</body>",
+        f"<body>{MENU}<div><button>Menu</div><main><div>{ARTICLE}</div></main><button>Up</button>{FOOT}</body>",
+        f"<body class='has-sidebar no-comments'>{MENU}<div>{ARTICLE}</div>{FOOT}</body>",
+        f"<body><form id='aspnetForm' action=x>{MENU}<article>{ARTICLE}</article>{FOOT}</form></body>",
+        f"<body>{MENU}<article>{ARTICLE.replace('<h1>', '<header><h1>').replace('</h1>', '</h1></header>')}</article>{FOOT}</body>",
+        f"<body>{MENU}<article>{ARTICLE.replace('nine', '<math><mi>nine</mi><annotation>9</annotation></math>')}</article>{FOOT}</body>",
+        f"<body><template><article><p>Not this one.</p></article></template>{MENU}<article>{ARTICLE}</article>{FOOT}",
+    ]
+    given = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    table = given.unionByName(spark.createDataFrame([(-1 - i, "u", x) for i, x in enumerate(pages)], given.schema))
+    got = {r["page_id"]: r["text"] for r in html_text.page_texts(table).where("page_id < 0").collect()}
+    assert {i: t for i, t in got.items() if t != ARTICLE_TEXT} == {} and len(got) == len(pages)
+
+
+def test_hidden_elements_end():
+    def texts(page):
+        return [b.text for b in html_text.blocks_of(page)]
+
+    assert texts("<p>a <button>b</p><p>c</p>") == ["a", "c"]
+    assert texts("<p>a <button><div>b</div></button> c</p>") == ["a c"]
+    assert texts("<select><option>a<option>b</select><p>c") == ["c"]
+    assert texts("<noscript><p>a</p></noscript><p>b</p><script>c</scrip><p>d") == ["b"]
+    assert texts("<div><noscript><p>a</p></div><p>b</p>") == ["a", "b"]
+    assert texts("<svg><title>a</title><text>b</text></svg>c<textarea>d") == ["c"]
+    assert texts("<svg><!-- </svg> --><style>x</style></svg>a<title>b <p>c</title>d<svg/>e") == ["ade"]
+    assert texts("<div>" + "<button>a<div><svg>b" * 20_000)[:2] == []
+    assert len(texts("<noscript><div>x" * 20_000)) > 0
+
+
 def test_gradients_are_those_of_small_steps():
     rng = np.random.default_rng(1)
     model = html_text.Labeller.fresh(2)
