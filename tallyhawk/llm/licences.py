@@ -5,10 +5,11 @@ Built from Spark's own expressions alone.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Common wordings by which texts state their licence.
@@ -54,6 +55,51 @@ TEMPLATES = (
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("proprietary", "All rights reserved."),
+    (
+        "MIT",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    ),
+    (
+        "MIT",
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
+        "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+        "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+        "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    (
+        "BSD-3-Clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission.",
+    ),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any "
+        "later version.",
+    ),
+    (
+        "LGPL-3.0",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+        "License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any "
+        "later version.",
+    ),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
+        "later version.",
+    ),
+    (
+        "Apache-2.0",
+        'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an '
+        '"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.',
+    ),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
 )
 
 LEAST_DICE = 0.8
@@ -91,7 +137,7 @@ def key_words(least: float = LEAST_DICE) -> list[str]:
     for _, text in TEMPLATES:
         words = _plain_words(text)
         pairs = set(zip(words, words[1:], strict=False))
-        needed = ceil(len(pairs) * least / (2 - least) - 1e-9)
+        needed = least_shared(len(pairs), least)
         own = set()
         for word in sorted(set(words), key=lambda w: (w in COMMON, -len(w), w)):
             if sum(not own & set(p) for p in pairs) < needed:
@@ -102,26 +148,101 @@ def key_words(least: float = LEAST_DICE) -> list[str]:
 
 
 def templates(spark: SparkSession) -> DataFrame:
-    """(template, licence, n_template, template_bigrams): the fixed templates, a few dozen short rows."""
+    """(template, licence, template_words, n_template, template_bigrams): the fixed templates, a few dozen short rows."""
     rows = [(i, licence, text) for i, (licence, text) in enumerate(TEMPLATES)]
+    words = normalised_words(F.col("text"))
     found = spark.createDataFrame(rows, "template int, licence string, text string").select(
-        "template", "licence", bigrams(normalised_words(F.col("text"))).alias("template_bigrams")
+        "template", "licence", F.size(words).alias("template_words"), bigrams(words).alias("template_bigrams")
     )
     return found.withColumn("n_template", F.size("template_bigrams"))
 
 
+def least_shared(n_bigrams: int, least: float) -> int:
+    """The bigrams of a template's `n_bigrams` that whatever reaches `least` shares with it."""
+    return ceil(n_bigrams * least / (2 - least) - 1e-9)
+
+
+def possible_templates(least: float) -> Column:
+    """The templates of which the column `text` may hold a window: enough of their bigrams have both words in it."""
+    own = [_plain_words(text) for _, text in TEMPLATES]
+    all_words = sorted({w for words in own for w in words})
+    place = {w: i for i, w in enumerate(all_words)}
+    cases = []
+    for t, words in enumerate(own):
+        pairs = sorted(set(zip(words, words[1:], strict=False)))
+        both = " + ".join(f"int(b[{place[x]}] AND b[{place[y]}])" for x, y in pairs)
+        cases.append(f"CASE WHEN {both} >= {least_shared(len(pairs), least)} THEN {t} END")
+    listed = ", ".join(f"'{w}'" for w in all_words)
+    held = f"transform(array({listed}), w -> contains(x, w))"
+    found = f"filter(array({', '.join(cases)}), t -> t IS NOT NULL)"
+    return F.expr(f"transform(array(lower(text)), x -> transform(array({held}), b -> {found})[0])[0]")
+
+
+def _let(value: Column, of: Callable[[Column], Column]) -> Column:
+    """`of(value)`, with the value computed once."""
+    return F.transform(F.array(value), of)[0]
+
+
+def windows(df: DataFrame, known: DataFrame, least: float) -> DataFrame:
+    """(id, template, licence, dice, unit): stretches of the words of `text` that state a licence, whatever is around them.
+
+    A window has as many words as a template and begins with one of its bigrams, or ends the text; a shorter text is one as a
+    whole. Of windows that share a word of the text only the nearest one to its template counts, of equally near ones that of the first template,
+    then the first; one that loses to another counts nowhere.
+    """
+    # A text counts once for an id, so that repeated rows fold in the tasks.
+    held = df.select("id", "text", possible_templates(least).alias("templates")).where(F.size("templates") > 0)
+    worded = held.select("id", F.sha2("text", 256).alias("own_text"), normalised_words(F.col("text")).alias("words"), "templates")
+    met = (
+        worded.where(F.size("words") >= 2)
+        .select("id", "own_text", "words", F.explode("templates").alias("template"))
+        .join(F.broadcast(known), "template")
+    )
+    starts = F.filter(
+        F.sequence(F.lit(1), F.size("words") - 1),
+        lambda i: F.array_contains("template_bigrams", F.concat(F.get("words", i - 1), F.lit(" "), F.get("words", i))),
+    )
+    needed = F.ceil(F.col("n_template") * (least / (2 - least)) - 1e-9).cast("int")
+    last = F.greatest(F.size("words") - F.col("template_words") + 1, F.lit(1))
+
+    def enough(found: Column) -> Column:
+        # A window holds as many of the template's bigrams as it needs, or it can't reach the least coefficient.
+        begin = F.transform(found, lambda start: F.least(start, last))
+        held = F.filter(begin, lambda start, k: F.coalesce(F.get(found, k + needed - 1) <= start + F.col("template_words") - 2, F.lit(False)))
+        return F.array_distinct(held)
+
+    def scored(start: Column) -> Column:
+        def of(own: Column, unit: Column) -> Column:
+            shared = F.size(F.array_intersect(own, F.col("template_bigrams")))
+            dice = 2 * shared / (F.size(own) + F.col("n_template"))
+            return F.struct(start.alias("start"), F.size(unit).alias("long"), dice.alias("dice"), F.array_join(unit, " ").alias("unit"))
+
+        return _let(F.slice("words", start, F.col("template_words")), lambda unit: _let(bigrams(unit), lambda own: of(own, unit)))
+
+    near = F.filter(F.transform(_let(starts, enough), scored), lambda x: x["dice"] >= least)
+    hits = met.select("id", "own_text", "template", "licence", F.explode(near).alias("x")).select("id", "own_text", "template", "licence", "x.*").distinct()
+    place = F.explode(F.sequence(F.col("start"), F.col("start") + F.col("long") - 1)).alias("place")
+    order = F.struct((-F.col("dice")).alias("d"), "template", "start")
+    spread = hits.select("*", order.alias("own"), place)
+    best = F.min("own").over(Window.partitionBy("id", "own_text", "place"))
+    kept = spread.withColumn("best", F.col("own") == best).groupBy("id", "own_text", "own", "licence", "unit").agg(F.bool_and("best").alias("best"))
+    return kept.where("best").select("id", "own.template", "licence", (-F.col("own.d")).alias("dice"), "unit")
+
+
 def licence_scan(
     df: DataFrame, least: float = LEAST_DICE, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(id, licence, dice, n_units, statement): the licences that a text states, from all its units.
+    """(id, licence, dice, n_units, statement): the licences that a text states, from all its units and windows.
 
     A unit is a line, a sentence of a line, a paragraph, or a sentence that runs over lines, up to a line without words
     at most; the last one isn't counted again where a line, sentence or paragraph in it is as near to the licence. It states a licence if its distinct word bigrams
     and those of one of the licence's templates have a Dice coefficient of at least `least`. With n bigrams in a
     template, only units of n * least / (2 - least) to n * (2 - least) / least can reach it, and others are
     not compared with it; nor are texts without the words that every match must have. A unit counts for its nearest
-    template only. `dice` is the best coefficient, `n_units` the number of distinct wordings that state the licence, `statement` the best of them in normal form, by coefficient and then order. One row per id and
-    licence: a text without a licence, empty or null, gives none; repeated rows count once; a null id is kept as
+    template only. A statement with other words before or behind it is found by its windows (see `windows`), which are no
+    further wordings where they lie in a unit that states the licence, or hold one. `dice` is the best coefficient, `n_units`
+    the number of distinct wordings that state the licence, `statement` the best wording in normal form, by coefficient, units
+    first, and then order. One row per id and licence: a text without a licence, empty or null, gives none; repeated rows count once; a null id is kept as
     one more id. Other columns are not read. The templates are a constant table, the one that is broadcast; only
     bigrams that some template has are shuffled.
     """
@@ -164,10 +285,12 @@ def licence_scan(
     told = scored.groupBy("id", "unit").agg(
         F.min(F.struct((-F.col("dice")).alias("d"), "template", "licence", "dice")).alias("near"), F.min("runs_over").alias("runs_over")
     )
+    stated = told.select("id", "near.licence", (-F.col("near.dice")).alias("d"), F.lit(False).alias("window"), "unit", "runs_over")
+    whole = df.select(F.col(id_col).alias("id"), text.alias("text"))
+    inside = windows(whole, known, least).groupBy("id", "licence", "unit").agg(F.min(-F.col("dice")).alias("d"))
+    stated = stated.unionByName(inside.withColumns({"window": F.lit(True), "runs_over": F.lit(True)}))
     # The wordings of an id and licence; a row for each distinct one, few as statements are.
-    wordings = told.groupBy("id", "near.licence").agg(
-        F.collect_list(F.struct((-F.col("near.dice")).alias("d"), "unit", "runs_over")).alias("all")
-    )
+    wordings = stated.groupBy("id", "licence").agg(F.collect_list(F.struct("d", "window", "unit", "runs_over")).alias("all"))
 
     def padded(unit: Column) -> Column:
         return F.concat(F.lit(" "), unit, F.lit(" "))
@@ -175,10 +298,17 @@ def licence_scan(
     def repeats(x: Column) -> Column:
         return F.exists("all", lambda y: ~y["runs_over"] & (y["d"] <= x["d"]) & F.contains(padded(x["unit"]), padded(y["unit"])))
 
-    counted_once = wordings.withColumn("all", F.filter("all", lambda x: ~(x["runs_over"] & repeats(x))))
+    def told_by_unit(x: Column) -> Column:
+        return F.exists(
+            "all",
+            lambda y: ~y["window"] & (F.contains(padded(x["unit"]), padded(y["unit"])) | F.contains(padded(y["unit"]), padded(x["unit"]))),
+        )
+
+    counted_once = wordings.withColumn("all", F.filter("all", lambda x: x["window"] | ~(x["runs_over"] & repeats(x))))
+    further = F.filter("all", lambda x: ~(x["window"] & told_by_unit(x)))
     nearest = F.array_min("all")
     best = counted_once.select(
-        "id", "licence", (-nearest["d"]).alias("dice"), F.size("all").cast("long").alias("n_units"), nearest["unit"].alias("statement")
+        "id", "licence", (-nearest["d"]).alias("dice"), F.size(further).cast("long").alias("n_units"), nearest["unit"].alias("statement")
     )
     return best.withColumnRenamed("id", id_col)
 

@@ -51,17 +51,20 @@ def _licences() -> str:
     least = licences.LEAST_DICE
     values = ", ".join(f"({i}, {_text(name)}, {_text(text)})" for i, (name, text) in enumerate(licences.TEMPLATES))
     words = r"trim(regexp_replace(lower({}), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
+    sentences = r"unnest(string_split(regexp_replace({}, '([.!?])[\x20\x09-\x0D]+', '\1' || chr(1), 'g'), chr(1)))"
     return rf"""
 WITH given(template, licence, text) AS (VALUES {values}),
 tw AS (SELECT template, licence, string_split({words.format("text")}, ' ') AS w FROM given),
-tb AS (SELECT DISTINCT template, licence, w[i] || ' ' || w[i + 1] AS b
+tb AS (SELECT DISTINCT template, licence, len(w) AS words, w[i] || ' ' || w[i + 1] AS b
   FROM (SELECT *, unnest(range(1, len(w))) AS i FROM tw)),
 tn AS (SELECT *, count(*) OVER (PARTITION BY template) AS n_template FROM tb),
 ln AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS u FROM documents),
-units AS (SELECT doc_id, u FROM ln
-  UNION SELECT doc_id, unnest(string_split(regexp_replace(u, '([.!?])[\x20\x09-\x0D]+', '\1' || chr(1), 'g'), chr(1))) FROM ln
-  UNION SELECT doc_id, unnest(string_split_regex(coalesce(text, ''), '\n[\x20\x09-\x0D]*\n')) FROM documents),
-normal AS (SELECT DISTINCT doc_id, {words.format("u")} AS unit FROM units),
+wrapped AS (SELECT doc_id, unnest(string_split_regex(coalesce(text, ''), '{licences.BREAK}')) AS u FROM documents),
+units AS (SELECT doc_id, u, 0 AS runs_over FROM ln
+  UNION SELECT doc_id, {sentences.format("u")}, 0 FROM ln
+  UNION SELECT doc_id, unnest(string_split_regex(coalesce(text, ''), '{licences.PARAGRAPH_GAP}')), 0 FROM documents
+  UNION SELECT doc_id, {sentences.format("u")}, 1 FROM wrapped),
+normal AS (SELECT doc_id, {words.format("u")} AS unit, min(runs_over) AS runs_over FROM units GROUP BY ALL),
 ub AS (SELECT DISTINCT doc_id, unit, w[i] || ' ' || w[i + 1] AS b
   FROM (SELECT *, unnest(range(1, len(w))) AS i FROM (SELECT *, string_split(unit, ' ') AS w FROM normal))),
 un AS (SELECT doc_id, unit, count(*) AS n_unit FROM ub GROUP BY doc_id, unit),
@@ -69,10 +72,33 @@ shared AS (SELECT ub.doc_id, ub.unit, template, licence, n_template, count(*) AS
   FROM ub JOIN tn USING (b) GROUP BY ALL),
 scored AS (SELECT doc_id, unit, template, licence, 2 * n / CAST(n_unit + n_template AS DOUBLE) AS dice
   FROM shared JOIN un USING (doc_id, unit)),
-near AS (SELECT * FROM scored WHERE dice >= {least}
+near AS (SELECT * FROM scored JOIN normal USING (doc_id, unit) WHERE dice >= {least}
   QUALIFY row_number() OVER (PARTITION BY doc_id, unit ORDER BY dice DESC, template) = 1),
-best AS (SELECT *, count(*) OVER (PARTITION BY doc_id, licence) AS n_units FROM near
-  QUALIFY row_number() OVER (PARTITION BY doc_id, licence ORDER BY dice DESC, unit) = 1)
+counted AS (SELECT doc_id, licence, unit, dice, false AS win FROM near x WHERE runs_over = 0 OR NOT EXISTS (
+  SELECT 1 FROM near y WHERE y.doc_id = x.doc_id AND y.licence = x.licence AND y.runs_over = 0 AND y.dice >= x.dice
+    AND contains(' ' || x.unit || ' ', ' ' || y.unit || ' '))),
+dw AS (SELECT doc_id, string_split({words.format("coalesce(text, '')")}, ' ') AS w FROM documents),
+pos AS (SELECT doc_id, i, len(w) AS long, w[i] || ' ' || w[i + 1] AS b FROM (SELECT *, unnest(range(1, len(w))) AS i FROM dw)),
+met AS (SELECT doc_id, i, long, b, template, licence, words, n_template FROM pos JOIN tn USING (b)),
+start AS (SELECT DISTINCT doc_id, template, licence, words, n_template, least(i, greatest(long - words + 1, 1)) AS i FROM met),
+full_ AS (SELECT a.doc_id, a.template, a.licence, a.words, a.n_template, a.i FROM start a
+  JOIN met c ON c.doc_id = a.doc_id AND c.template = a.template AND c.i BETWEEN a.i AND a.i + a.words - 2
+  GROUP BY ALL HAVING count(DISTINCT c.b) * (2 - {least}) + 1e-6 >= a.n_template * {least}),
+held AS (SELECT f.doc_id, f.template, f.licence, f.words, f.n_template, f.i, count(DISTINCT p.b) AS n_own, count(DISTINCT tb.b) AS n
+  FROM full_ f JOIN pos p ON p.doc_id = f.doc_id AND p.i BETWEEN f.i AND f.i + f.words - 2
+  LEFT JOIN tb ON tb.template = f.template AND tb.b = p.b GROUP BY ALL),
+hit AS (SELECT h.doc_id, template, licence, i, 2 * n / CAST(n_own + n_template AS DOUBLE) AS dice, dw.w[i:i + words - 1] AS ws
+  FROM held h JOIN dw USING (doc_id) WHERE 2 * n / CAST(n_own + n_template AS DOUBLE) >= {least}),
+place AS (SELECT *, unnest(range(i, i + len(ws))) AS p FROM hit),
+first_ AS (SELECT *, row_number() OVER (PARTITION BY doc_id, p ORDER BY dice DESC, template, i) = 1 AS first_here FROM place),
+won AS (SELECT doc_id, template, licence, i, dice, array_to_string(ws, ' ') AS unit FROM first_ GROUP BY ALL HAVING bool_and(first_here)),
+inside AS (SELECT doc_id, licence, unit, max(dice) AS dice, true AS win FROM won GROUP BY doc_id, licence, unit),
+stated AS (SELECT * FROM counted UNION ALL SELECT doc_id, licence, unit, dice, win FROM inside),
+further AS (SELECT *, NOT win OR NOT EXISTS (SELECT 1 FROM counted y WHERE y.doc_id = x.doc_id AND y.licence = x.licence
+    AND (contains(' ' || x.unit || ' ', ' ' || y.unit || ' ') OR contains(' ' || y.unit || ' ', ' ' || x.unit || ' '))) AS counts
+  FROM stated x),
+best AS (SELECT *, count(*) FILTER (counts) OVER (PARTITION BY doc_id, licence) AS n_units FROM further
+  QUALIFY row_number() OVER (PARTITION BY doc_id, licence ORDER BY dice DESC, win, unit) = 1)
 SELECT doc_id, licence, dice, n_units, unit AS statement FROM best"""
 
 

@@ -1,5 +1,6 @@
 """Line rules, licences and languages."""
 
+import random
 import re
 import textwrap
 from collections import Counter
@@ -138,6 +139,58 @@ def test_statements_that_run_over_lines_are_found(spark):
     assert got == {(1, "GPL-3.0"): (1.0, 1), (2, "MIT"): (1.0, 1), (3, "GPL-3.0"): (1.0, 1), (4, "CC0-1.0"): (1.0, 1)}
 
 
+@pytest.mark.parametrize(
+    "text, licence",
+    [
+        ("This project is licensed under the MIT License.", "MIT"),
+        ("This software is released under the Apache License, Version 2.0.", "Apache-2.0"),
+        ("Licensed under CC BY 4.0 by Example Press", "CC-BY-4.0"),
+        (f"{PROSE[:-1]}, and the book on it, which is\nlicensed under the MIT license and sold in two towns, says {PROSE}", "MIT"),
+        ("The data are licensed under CC BY-SA 4.0, the code is not", "CC-BY-SA-4.0"),
+        ("Copyright 2020 Example Press, all rights reserved, printed in Ulm.", "proprietary"),
+        ("As of today this work is licensed under the GNU Affero General Public License, version 3, by all its authors", "AGPL-3.0"),
+        (f"{PROSE} " + next(t for n, t in licences.TEMPLATES if n == "ISC")[:-1] + " wherever they are", "ISC"),
+        ("Photos (c) A. Person. This work is licensed under the GNU General Public License, version 2 - see the file", "GPL-2.0"),
+    ],
+)
+def test_statements_with_other_words_around_them(spark, text, licence):
+    got = licences.licence_scan(documents(spark, [(1, text), (1, text), (2, PROSE)])).collect()
+    assert [(r["doc_id"], r["licence"], r["n_units"]) for r in got] == [(1, licence, 1)] and got[0]["dice"] >= 0.85
+
+
+def plain_windows(text):
+    own, hits = re.findall(r"[^\W_]+", (text or "").lower()), []
+    for t, (name, template) in enumerate(licences.TEMPLATES):
+        n, pairs = len(licences._plain_words(template)), licences._plain_words(template)
+        pairs = set(zip(pairs, pairs[1:], strict=False))
+        found = {i for i in range(len(own) - 1) if (own[i], own[i + 1]) in pairs}
+        for i in {min(i, max(len(own) - n, 0)) for i in found}:
+            dice = plain_dice(" ".join(own[i : i + n]), template)
+            if dice >= licences.LEAST_DICE:
+                hits.append((-dice, t, i, min(i + n, len(own)), name))
+    beaten = {b for b in hits for a in hits if a < b and a[2] < b[3] and b[2] < a[3]}
+    return sorted((name, " ".join(own[low:high]), round(-d, 9)) for d, _, low, high, name in hits if (d, _, low, high, name) not in beaten)
+
+
+def test_windows_are_those_of_brute_force(spark):
+    draw, rows = random.Random(8), []
+    for i in range(60):
+        own = words(30, 300 + i).split()
+        for _ in range(3):
+            part = licences._plain_words(draw.choice(licences.TEMPLATES)[1])
+            part = [w for w in part if draw.random() > 0.05] + words(draw.randrange(3), i).split()
+            at = draw.randrange(len(own))
+            own[at:at] = part
+        rows.append((i, draw.choice([" ", "\n", ", "]).join(own)))
+    rows += [(100, "licensed under the"), (101, "reserved"), (102, None), *((103, x) for x in ("All rights", "all rights reserved") for _ in range(3))]
+    df = documents(spark, rows).select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    got = {}
+    for r in licences.windows(df, licences.templates(spark), licences.LEAST_DICE).collect():
+        got.setdefault(r["id"], []).append((r["licence"], r["unit"], round(r["dice"], 9)))
+    want = {i: plain_windows(t) for i, t in rows if plain_windows(t)}
+    assert {i: sorted(x) for i, x in got.items()} == want and len(want) > 50
+
+
 def test_key_words_lose_no_template():
     keys = licences.key_words()
     for _, text in licences.TEMPLATES:
