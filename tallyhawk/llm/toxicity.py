@@ -1,6 +1,7 @@
 """Toxicity by weak supervision: many voters, a generative label model over their votes, a linear classifier.
 
-Voters are word lists, patterns and word beginnings mined from labelled rows. The label model is a mixture of two
+Voters are word lists, patterns, and word beginnings mined from labelled rows: some tell where they stand once, others, that
+clean texts have now and then, where they come again in the same text. The label model is a mixture of two
 classes in which each vote depends on the class and on one other vote, so that it learns how accurate voters are
 and which of them repeat each other. Its posteriors are the labels of a logistic regression over the votes and
 hashed words, which scores every text.
@@ -18,6 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,19 +37,32 @@ LEXICONS: dict[str, tuple[str, ...]] = {
 #: Words by which a text speaks to somebody.
 ADDRESS = frozenset("you your youre yourself u du dich ihr euch tu toi vous usted eres te".split())
 PATTERNS = ("addressed", "dense", "capitals", "exclaiming")
-#: Voters that share the mined word beginnings, and how many of these there are at most.
-MINED_VOTERS, MINED_STEMS = 6, 60
+#: Voters that share the mined word beginnings, those that share the beginnings that come again, and how many of either
+#: kind are mined at most, the surest first.
+MINED_VOTERS, AGAIN_VOTERS, MINED_STEMS = 6, 3, 60
+#: Marks a beginning that has to come again.
+AGAIN = "2 "
 STEM_LENGTHS = (4, 5, 6)
 #: How sure a mined beginning must be: log-likelihood ratio, and the share of toxic rows among those that have it.
-LEAST_RATIO, LEAST_PRECISION = 30.0, 0.9
+LEAST_RATIO, LEAST_PRECISION, LEAST_PRECISION_AGAIN = 30.0, 0.9, 0.8
 #: Rows that a task's counter of beginnings may hold before it passes them on.
 STEMS_HELD = 200_000
 #: Labelled rows of each class that a model is fitted on, those with the lowest hash of the id.
 ROWS_PER_CLASS = 6000
-VOTERS = (*LEXICONS, *PATTERNS, *(f"mined {i}" for i in range(MINED_VOTERS)))
+#: Rows without a label that the classifier learns from by their posteriors, and their weight beside all labelled rows.
+FREE_ROWS, FREE_WEIGHT = 3000, 0.25
+VOTERS = (*LEXICONS, *PATTERNS, *(f"mined {i}" for i in range(MINED_VOTERS)), *(f"again {i}" for i in range(AGAIN_VOTERS)))
+#: Place of the first mined voter.
+FIRST_MINED = len(LEXICONS) + len(PATTERNS)
 #: Accuracy that a given label has as one more voter.
 LABEL_ACCURACY = 0.97
+#: Log-odds by which votes can speak against a given label: voters of other languages stay silent, and don't overrule it.
+MOST_AGAINST = 2.0
+#: Stands for the label of a row that has none.
+FREE = -1
 HASH_BITS = 17
+#: How strongly the classifier's weights of words are drawn to 0: votes shall tell, words the rest.
+WORD_DECAY = 1e-4
 THRESHOLD = 0.7
 #: Tokens kept in a task's memory, and the longest that is kept for long.
 MEMO_TOKENS, MEMO_CHARS = 300_000, 40
@@ -61,16 +76,20 @@ class KnownTokens(dict):
     """What is known of tokens, as one number each, so that a text's tokens add up to all that its score needs.
 
     The low bits count a token's hash buckets, the high ones are its weight in fixed point; sums of such numbers
-    don't depend on the order of tokens. Tokens in which a word voter fires are in `fired`, with the voters' bits.
+    don't depend on the order of tokens. Tokens in which a word voter fires are in `fired`, with the voters' bits; tokens that
+    have beginnings which tell when they come again are in `again`, with these.
     There are two generations: a token that is looked up stays, one that isn't goes with the older of them.
     """
 
     def __init__(self, stems: dict[str, int], weights: np.ndarray | None = None):
         super().__init__()
-        self.stems, self.weights = stems, None if weights is None else weights.tolist()
-        self.beginnings = {stem[: STEM_LENGTHS[0]] for stem in stems}
+        self.weights = None if weights is None else weights.tolist()
+        self.stems = {stem: i for stem, i in stems.items() if not stem.startswith(AGAIN)}
+        self.again_stems = {stem[len(AGAIN) :]: i for stem, i in stems.items() if stem.startswith(AGAIN)}
+        self.beginnings = {stem[: STEM_LENGTHS[0]] for stem in (*self.stems, *self.again_stems)}
         self.older: dict[str, int] = {}
         self.fired: dict[str, int] = {}
+        self.again: dict[str, list[str]] = {}
 
     def __missing__(self, token: str) -> int:
         known = self.older.get(token)
@@ -81,14 +100,18 @@ class KnownTokens(dict):
 
     def _look_up(self, token: str) -> int:
         words = [token] if token.isalpha() else WORD.findall(token)
-        bits = 0
+        bits, again = 0, []
         for word in words:
             bits |= _LEXICON_BITS.get(word, 0)
             for stem in stems_of(word) if word[: STEM_LENGTHS[0]] in self.beginnings else ():
                 if stem in self.stems:
-                    bits |= 1 << (len(LEXICONS) + len(PATTERNS) + self.stems[stem])
+                    bits |= 1 << (FIRST_MINED + self.stems[stem])
+                if stem in self.again_stems:
+                    again.append(stem)
         if bits:
             self.fired[token] = bits
+        if again:
+            self.again[token] = again
         if self.weights is None:
             return 0
         places = buckets_of(words)
@@ -100,6 +123,7 @@ class KnownTokens(dict):
             self.older = {token: known for token, known in self.items() if len(token) <= MEMO_CHARS}
             self.clear()
             self.fired = {token: bits for token, bits in self.fired.items() if token in self.older}
+            self.again = {token: stems for token, stems in self.again.items() if token in self.older}
 
 
 def buckets_of(words: list[str]) -> list[int]:
@@ -130,6 +154,12 @@ class Votes:
                 bits |= 1 << first
             if len(places) >= 3:
                 bits |= 1 << (first + 1)
+        once_or_more = self.known.again.keys() & distinct
+        if once_or_more:
+            times = Counter(stem for x in tokens if x in once_or_more for stem in self.known.again[x])
+            for stem, n in times.items():
+                if n >= 2:
+                    bits |= 1 << (FIRST_MINED + MINED_VOTERS + self.known.again_stems[stem])
         if len(tokens) >= 5 and text.isupper():
             bits |= 1 << (first + 2)
         if text.count("!!") >= 3:
@@ -191,8 +221,7 @@ def fit_label_model(
     toxic = np.where(label_odds != 0, said, np.where(lexical, 0.9, prior / 2))
     model = _maximise(votes, weight, toxic)
     for _ in range(rounds):
-        odds = model.log_odds(votes) + label_odds
-        fresh = 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
+        fresh = posterior(model.log_odds(votes), label_odds)
         moved = np.abs(fresh - toxic).max(initial=0)
         toxic = fresh
         model = _maximise(votes, weight, toxic)
@@ -201,6 +230,12 @@ def fit_label_model(
     return model
 
 
+def posterior(odds: np.ndarray, label_odds: np.ndarray | float) -> np.ndarray:
+    """P(toxic) by the votes' log-odds and those of a given label, which are 0 where there is none."""
+    odds = np.where(label_odds != 0, np.clip(odds, -MOST_AGAINST, MOST_AGAINST), odds)
+    return 1 / (1 + np.exp(-np.clip(odds + label_odds, -40, 40)))
+
+
 def _maximise(votes: np.ndarray, weight: np.ndarray, toxic: np.ndarray) -> LabelModel:
     """Vote probabilities along the tree of voters that share the most information within the classes."""
     n = votes.shape[1]
@@ -252,19 +287,22 @@ def fit_linear(
     A row's buckets share a length of one, so that long texts gain nothing by having many words.
     """
     n, size = len(target), 1 << HASH_BITS
-    owner = np.repeat(np.arange(n), lengths)
+    filled = np.flatnonzero(lengths)
+    starts = (np.cumsum(lengths) - lengths)[filled]
     scale = 1 / np.sqrt(np.maximum(lengths, 1))
     w_bias, w_votes, w_words = 0.0, np.zeros(votes.shape[1]), np.zeros(size)
     state = [[np.zeros_like(np.asarray(x, float)) for x in (w_bias, w_votes, w_words)] for _ in range(2)]
     weight = weight / max(weight.sum(), 1e-9)
     for step in range(1, rounds + 1):
-        words = np.bincount(owner, weights=w_words[buckets], minlength=n) * scale
+        words = np.zeros(n)
+        if len(filled):
+            words[filled] = np.add.reduceat(w_words[buckets], starts) * scale[filled]
         p = 1 / (1 + np.exp(-np.clip(w_bias + votes @ w_votes + words, -40, 40)))
         error = (p - target) * weight
         grads = (
             error.sum(),
             votes.T @ error + 1e-5 * w_votes,
-            np.bincount(buckets, weights=(error * scale)[owner], minlength=size) + 1e-5 * w_words,
+            np.bincount(buckets, weights=np.repeat(error * scale, lengths), minlength=size) + WORD_DECAY * w_words,
         )
         values = []
         for k, (value, grad) in enumerate(zip((w_bias, w_votes, w_words), grads, strict=True)):
@@ -300,16 +338,20 @@ class Scorer:
         return 1 / (1 + math.exp(-min(max(float(logit), -40.0), 40.0)))
 
 
-def mined_stems(rows: DataFrame, text_col: str, label_col: str) -> dict[str, int]:
-    """Word beginnings that mark toxic rows, and the voter of each; from all rows given."""
+def mined_stems(rows: DataFrame, text_col: str, label_col: str, most: int = MINED_STEMS) -> dict[str, int]:
+    """Word beginnings that mark toxic rows, and the voter of each among those of its kind; from all rows given.
+
+    A beginning behind the mark `AGAIN` tells where it stands twice or more. At most `most` of either kind are mined.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
         seen = [0, 0]
         for batch in slices(batches):
             for text, label in zip(text_column(batch, text_col), batch.column(label_col).to_pylist(), strict=True):
-                words = set(WORD.findall(text.lower()))
-                held[label].update({x for w in words for x in stems_of(w) if len(x) <= MEMO_CHARS})
+                times = Counter(x for w in WORD.findall(text.lower()) for x in stems_of(w) if len(x) <= MEMO_CHARS)
+                held[label].update(times.keys())
+                held[label].update(AGAIN + x for x, n in times.items() if n >= 2)
                 seen[label] += 1
                 if len(held[0]) + len(held[1]) > STEMS_HELD:
                     yield _stem_rows(held, seen)
@@ -329,19 +371,26 @@ def mined_stems(rows: DataFrame, text_col: str, label_col: str) -> dict[str, int
         F.when(F.col("toxic") > 0, F.col("toxic") * F.log(F.col("toxic") / (n * rate))).otherwise(0)
         + F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / (n * (1 - rate)))).otherwise(0)
     )
+    least = F.when(F.startswith("stem", F.lit(AGAIN)), LEAST_PRECISION_AGAIN).otherwise(LEAST_PRECISION)
     sure = (
-        sums.where((F.col("stem") != "") & (F.col("toxic") >= LEAST_PRECISION * n))
+        sums.where((F.col("stem") != "") & (F.col("toxic") >= least * n))
         .withColumn("ratio", ratio)
         .where(F.col("ratio") >= LEAST_RATIO)
         .orderBy(F.desc("ratio"), F.desc(F.length("stem")), "stem")
-        .limit(50 * MINED_STEMS)
+        .limit(100 * most)
         .collect()
     )
-    chosen: list[str] = []
-    for stem, *_ in sure:
-        if len(chosen) < MINED_STEMS and not any(stem.startswith(x) or x.startswith(stem) for x in chosen):
-            chosen.append(stem)
-    return {stem: i % MINED_VOTERS for i, stem in enumerate(chosen)}
+    once: list[str] = []
+    again: list[str] = []
+    for stem in (row[0] for row in sure if not row[0].startswith(AGAIN)):
+        if len(once) < most and not any(stem.startswith(x) or x.startswith(stem) for x in once):
+            once.append(stem)
+    alone = {row[0] for row in sure}
+    for stem in (row[0][len(AGAIN) :] for row in sure if row[0].startswith(AGAIN)):
+        # One that tells by standing once says no more by coming again.
+        if len(again) < most and stem not in alone and not any(stem.startswith(x) or x.startswith(stem) for x in again):
+            again.append(stem)
+    return {x: i % MINED_VOTERS for i, x in enumerate(once)} | {AGAIN + x: i % AGAIN_VOTERS for i, x in enumerate(again)}
 
 
 def _stem_rows(held: tuple[Counter[str], Counter[str]], seen: list[int]) -> pa.RecordBatch:
@@ -357,6 +406,8 @@ def fit_toxicity(
     labels: DataFrame,
     training: Column | None = None,
     rows_per_class: int = ROWS_PER_CLASS,
+    free_rows: int = FREE_ROWS,
+    most_stems: int = MINED_STEMS,
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
@@ -364,8 +415,8 @@ def fit_toxicity(
     """A model from labels where `training` (over the id) is true, and the votes on all texts of `docs`.
 
     Labels are 0 or 1; others and null are passed over, and of several for an id the highest counts. At most
-    `rows_per_class` labelled ids of each class are used, those with the lowest hash: that bounds what is broadcast
-    and what reaches the driver. The label model counts the vote patterns of every text. Without labels of both
+    `rows_per_class` labelled ids of each class are used, those with the lowest hash, and `free_rows` others by their text
+    alone: that bounds what is broadcast and what reaches the driver. The label model counts the vote patterns of every text. Without labels of both
     classes nothing is mined, and the lexicons alone say what the classes are.
     """
     id_name, label_name = fresh_name(docs.columns, "labelled_id"), fresh_name(docs.columns, "label")
@@ -377,11 +428,18 @@ def fit_toxicity(
     prior = shares.get(1, 0) / sum(shares.values()) if len(shares) == 2 else 0.1
     parts = [lowest_hashes(known.where(F.col(label_name) == y), rows_per_class, id_name) for y in (0, 1)]
     chosen = parts[0].union(parts[1]).toArrow()
-    sample = docs.sparkSession.createDataFrame(chosen) if chosen.num_rows else known.limit(0)
-    labelled = docs.join(F.broadcast(sample), docs[id_col] == sample[id_name]).select(
+    if chosen.num_rows:
+        # Rows whose label isn't used, whatever it is; an id that has several rows is drawn once.
+        drawn = lowest_hashes(docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias(id_name)), free_rows, id_name).distinct().toArrow()
+        free = drawn.filter(pc.invert(pc.is_in(drawn[id_name], chosen[id_name].combine_chunks())))
+        free = free.append_column(label_name, pa.array([FREE] * free.num_rows, pa.int32()))
+        sample = docs.sparkSession.createDataFrame(pa.concat_tables([chosen, free.cast(chosen.schema)]))
+    else:
+        sample = known.limit(0)
+    learned = docs.join(F.broadcast(sample), docs[id_col] == sample[id_name]).select(
         F.col(text_col).alias("text"), F.col(label_name).alias("label")
     )
-    stems = mined_stems(labelled, "text", "label")
+    stems = mined_stems(learned.where(F.col("label") != FREE), "text", "label", most_stems)
 
     def patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voters = Votes(stems)
@@ -390,7 +448,7 @@ def fit_toxicity(
             counts.update(voters.of(x)[0] for x in text_column(batch, text_col))
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int32()), pa.array(list(counts.values()), pa.int64())], ["mask", "n"])
 
-    # At most a row per pattern, of which the number of voters allows 2 ** 15.
+    # At most a row per pattern, of which the number of voters allows 2 ** 18.
     counted = docs.select(text_col).mapInArrow(patterns, "mask int, n long").groupBy("mask").agg(F.sum("n").alias("n")).toArrow()
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -404,18 +462,20 @@ def fit_toxicity(
                 buckets.append(np.sort(np.array([b for x in tokens for b in buckets_of(WORD.findall(x))], np.int32)).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(masks, pa.int32()), batch.column("label"), pa.array(buckets, pa.binary())], ["mask", "label", "buckets"])
 
-    rows = labelled.mapInArrow(features, "mask int, label int, buckets binary").limit(2 * rows_per_class).toArrow()
-    gold = rows["mask"].to_numpy(), rows["label"].to_numpy()
+    rows = learned.mapInArrow(features, "mask int, label int, buckets binary").limit(2 * rows_per_class + free_rows).toArrow()
+    masks, given = rows["mask"].to_numpy(), rows["label"].to_numpy()
+    gold = masks[given != FREE], given[given != FREE]
     model = fit_label_model(counted["mask"].to_numpy(), counted["n"].to_numpy(), gold, prior)
     if not rows.num_rows:
-        gold = counted["mask"].to_numpy(), np.zeros(counted.num_rows, int)
+        masks = counted["mask"].to_numpy()
         buckets, label_odds, weight = [b""] * counted.num_rows, 0.0, counted["n"].to_numpy()
     else:
         buckets = rows["buckets"].to_pylist()
-        label_odds = np.where(gold[1] == 1, 1, -1) * np.log(LABEL_ACCURACY / (1 - LABEL_ACCURACY))
-        weight = np.where(gold[1] == 1, prior / max((gold[1] == 1).sum(), 1), (1 - prior) / max((gold[1] == 0).sum(), 1))
-    votes = vote_matrix(gold[0])
-    target = 1 / (1 + np.exp(-np.clip(model.log_odds(votes) + label_odds, -40, 40)))
+        label_odds = np.select([given == 1, given == 0], [1, -1], 0) * np.log(LABEL_ACCURACY / (1 - LABEL_ACCURACY))
+        own = [max((given == y).sum(), 1) for y in (1, 0, FREE)]
+        weight = np.select([given == 1, given == 0], [prior / own[0], (1 - prior) / own[1]], FREE_WEIGHT / own[2])
+    votes = vote_matrix(masks)
+    target = posterior(model.log_odds(votes), label_odds)
     lengths = np.array([len(x) // 4 for x in buckets], np.int64)
     flat = np.frombuffer(b"".join(buckets), np.int32)
     bias, vote_weights, words = fit_linear(votes, lengths, flat, target, weight)

@@ -73,6 +73,37 @@ def test_the_label_model_finds_accuracies_and_copies():
     assert abs(odds[3] - odds[0]) < 0.3
 
 
+def test_beginnings_that_come_again_tell_where_single_ones_do_not(spark):
+    draw, rows, labels = random.Random(5), [], []
+    for i in range(300):
+        own, bad = words(40, 9000 + i).split(), i % 5 == 0
+        # Every third clean text has one such word as well.
+        for k in range(3 if bad else int(i % 3 == 0)):
+            own[draw.randrange(0, 13) + 13 * k] = f"grumpf{'abcdefgh'[draw.randrange(8)] * draw.randrange(1, 9)}"
+        rows.append((i, " ".join(own)))
+        labels.append((i, int(bad)))
+    docs, labels_df = documents(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    stems = toxicity.mined_stems(docs.join(labels_df, "doc_id"), "text", "toxic")
+    assert any(x.startswith(f"{toxicity.AGAIN}grum") for x in stems) and not any(x.startswith("grum") and len(x) <= 6 for x in stems)
+    got = toxicity.toxicity(docs, labels_df, F.col("doc_id") % 3 != 1).where("held_out").collect()
+    truth = dict(labels)
+    assert len(got) == 100 and all(r["predicted"] == truth[r["doc_id"]] for r in got)
+    assert toxicity.Votes(stems).of("grumpfa x grumpfb")[0] and not toxicity.Votes(stems).of("grumpfa x")[0]
+
+
+def test_posteriors_follow_labels_and_votes():
+    odds = np.array([-30.0, 30.0, -30.0, 30.0])
+    got = toxicity.posterior(odds, np.array([3.5, -3.5, 0, 0]))
+    assert got[0] > 0.8 and got[1] < 0.2 and got[2] < 1e-6 and got[3] > 1 - 1e-6
+
+
+def test_most_labelled_rows_of_every_class_are_found(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{x}.parquet") for x in ("documents", "labels"))
+    got = toxicity.toxicity(docs, labels, F.crc32(F.col("doc_id").cast("string")) % 3 != 1).where("held_out").join(labels, "doc_id")
+    found, wrong, toxic = got.agg(F.sum(F.col("predicted") * F.col("toxic")), F.sum(F.col("predicted") * (1 - F.col("toxic"))), F.sum("toxic")).first()
+    assert found >= 0.83 * toxic and wrong <= 0.03 * found
+
+
 PAGE = """<html><head><title>T</title><script>x = "<p>no</p>"</script></head><body><header><div class="logo">Site</div></header>
 <nav><ul><li><a href=/>Home</a></li></ul></nav><div class="cookie-notice">We use cookies to make things better for you.</div>
 <main><article><h1>Head</h1><p>One  two\nthree &amp; four &lt;five&gt; six seven.</p><!-- <p>no</p> --><p>Short.<p>Next <b>bold</b> one.
