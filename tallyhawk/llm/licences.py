@@ -6,7 +6,7 @@ Built from Spark's own expressions alone.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from itertools import groupby
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -162,20 +162,32 @@ def least_shared(n_bigrams: int, least: float) -> int:
     return ceil(n_bigrams * least / (2 - least) - 1e-9)
 
 
+def may_state(text: Column, least: float) -> Column:
+    """Whether a text has one of the key words, without which nothing in it reaches `least` with a template."""
+    # Words part as in `normalised_words`, but for those behind a letter of more than 16 bits, where too many are found.
+    # One pass over the text looks for all of them, letter by letter.
+    by_letter = {c: "|".join(w[1:] for w in own) for c, own in groupby(key_words(least), key=lambda w: w[0])}
+    begins = rf"(?=[{''.join(by_letter)}])(?<![\p{{L}}\p{{N}}])"
+    words = "|".join(f"{c}(?:{rest})" for c, rest in by_letter.items())
+    return F.rlike(F.lower(text), F.lit(rf"{begins}(?:{words})(?![\p{{L}}\p{{N}}])"))
+
+
 def possible_templates(least: float) -> Column:
-    """The templates of which the column `text` may hold a window: enough of their bigrams have both words in it."""
-    own = [_plain_words(text) for _, text in TEMPLATES]
-    all_words = sorted({w for words in own for w in words})
+    """The templates of which the column `words` may hold a window: it has a key word, and both words of enough bigrams."""
+    texts = [_plain_words(text) for _, text in TEMPLATES]
+    all_words = sorted({w for words in texts for w in words})
     place = {w: i for i, w in enumerate(all_words)}
+    keys = set(key_words(least))
     cases = []
-    for t, words in enumerate(own):
+    for t, words in enumerate(texts):
         pairs = sorted(set(zip(words, words[1:], strict=False)))
+        key = " OR ".join(f"b[{place[w]}]" for w in sorted(keys & set(words)))
         both = " + ".join(f"int(b[{place[x]}] AND b[{place[y]}])" for x, y in pairs)
-        cases.append(f"CASE WHEN {both} >= {least_shared(len(pairs), least)} THEN {t} END")
-    listed = ", ".join(f"'{w}'" for w in all_words)
-    held = f"transform(array({listed}), w -> contains(x, w))"
+        cases.append(f"CASE WHEN ({key}) AND {both} >= {least_shared(len(pairs), least)} THEN {t} END")
+    listed = f"array({', '.join(repr(w) for w in all_words)})"
+    held = f"transform(array(array_intersect(words, {listed})), own -> transform({listed}, w -> array_contains(own, w)))[0]"
     found = f"filter(array({', '.join(cases)}), t -> t IS NOT NULL)"
-    return F.expr(f"transform(array(lower(text)), x -> transform(array({held}), b -> {found})[0])[0]")
+    return F.expr(f"transform(array({held}), b -> {found})[0]")
 
 
 def _let(value: Column, of: Callable[[Column], Column]) -> Column:
@@ -191,11 +203,10 @@ def windows(df: DataFrame, known: DataFrame, least: float) -> DataFrame:
     then the first; one that loses to another counts nowhere.
     """
     # A text counts once for an id, so that repeated rows fold in the tasks.
-    held = df.select("id", "text", possible_templates(least).alias("templates")).where(F.size("templates") > 0)
-    worded = held.select("id", F.sha2("text", 256).alias("own_text"), normalised_words(F.col("text")).alias("words"), "templates")
+    worded = df.where(may_state(F.col("text"), least)).select("id", "text", normalised_words(F.col("text")).alias("words"))
     met = (
         worded.where(F.size("words") >= 2)
-        .select("id", "own_text", "words", F.explode("templates").alias("template"))
+        .select("id", F.sha2("text", 256).alias("own_text"), "words", F.explode(possible_templates(least)).alias("template"))
         .join(F.broadcast(known), "template")
     )
     starts = F.filter(
@@ -250,10 +261,9 @@ def licence_scan(
     lines = F.split(text, "\n")
     sentences = F.flatten(F.transform(lines, lambda x: F.split(x, SENTENCE_GAP)))
     wrapped = F.flatten(F.transform(F.split(text, BREAK), lambda x: F.split(x, SENTENCE_GAP)))
-    keys = key_words(least)
 
     def possible(unit: Column) -> Column:
-        return F.exists(F.array(F.lower(unit)), lambda x: reduce(lambda a, b: a | b, [F.contains(x, F.lit(k)) for k in keys]))
+        return may_state(unit, least)
 
     plain = F.array_distinct(F.concat(lines, sentences, F.split(text, PARAGRAPH_GAP)))
     units = F.concat(

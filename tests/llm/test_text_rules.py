@@ -200,6 +200,18 @@ def test_key_words_lose_no_template():
         assert len(without) < len(pairs) * licences.LEAST_DICE / (2 - licences.LEAST_DICE)
 
 
+def test_key_words_are_found_as_whole_words(spark):
+    keys = set(licences.key_words())
+    texts = ["", None, "LICENSED", "un_under_", "understand", "thunder", "under1", "éunder", "under é", "x\u00a0Under,", "𝒳under", "the—license", "licensee"]
+    texts += [*keys, *(f"a{k}" for k in keys), *(f"({k.upper()})" for k in keys), "K" + "under", "\U00010400 license 😀license"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = {r["id"]: r["x"] for r in df.select("id", licences.may_state(F.coalesce("text", F.lit("")), licences.LEAST_DICE).alias("x")).collect()}
+    want = {i: bool(keys & set(licences._plain_words(t or ""))) for i, t in enumerate(texts)}
+    # Behind a letter of more than 16 bits a word may be taken for whole: such a text is only compared in vain.
+    got.pop(texts.index("𝒳under"))
+    assert got.items() <= want.items()
+
+
 def test_grams_are_those_of_a_plain_count():
     texts = ["Ab a1b", "", "é--é", "x", "  "]
     buckets, owner = language_id.grams(texts)
