@@ -1,4 +1,4 @@
-"""How far the sources of a language differ in their words, from each distinct text once."""
+"""How far the sources of a language differ in their words."""
 
 from __future__ import annotations
 
@@ -26,6 +26,7 @@ _TERM_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128
 
 COUNTS = "lang string, source string, term string, n long, docs long"
 PAIRS = "lang string, a string, b string, both long"
+COPIES = pa.list_(pa.struct([("source", pa.string()), ("n", pa.int64())]))
 
 
 def divergence(
@@ -44,8 +45,8 @@ def divergence(
     the sum of the differences of all kept terms' shares, 0 where nothing is kept. Part `term`: the `most_terms`
     kept terms that stand out most from the language, with the difference. Ranks are by value, then item in UTF-8.
 
-    Null text, language and source count as ''. Equal texts of a language are tokenized once and count as often as
-    they occur, repeated rows as well. Integers and decimals only, so results are exact. Other columns are not
+    Null text, language and source count as ''. Equal texts count as often as they occur, repeated rows as
+    well; a language's that come in one slice of a task are tokenized once. Integers and decimals only, so results are exact. Other columns are not
     read; an empty table gives an empty result.
     """
     named = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))))
@@ -59,18 +60,30 @@ def divergence(
 def term_counts(named: DataFrame) -> DataFrame:
     """(lang, source, term, n, docs): occurrences of terms, and documents with them; each group has a row with term ''.
 
-    One text stands for all equal ones of a language. Texts are told apart by 256 bits, and what travels is one
-    copy from each task that has some; beside it the number of copies in each source, counted before they meet.
+    Texts are counted where they are read; what travels is the partial counts of the tasks.
     """
-    keyed = named.withColumn("code", F.unhex(F.sha2("text", 256)))
-    copies = keyed.groupBy("lang", "code", "source").agg(F.count(F.lit(1)).alias("n"))
-    copies = copies.groupBy("lang", "code").agg(F.collect_list(F.struct("source", "n")).alias("copies"))
-    texts = keyed.groupBy("lang", "code").agg(F.first("text").alias("text"))
-    collapsed = texts.join(copies, ["lang", "code"]).select("lang", "copies", "text")
-    partial = collapsed.mapInArrow(_count, COUNTS)
+    partial = named.select("lang", "source", "text").mapInArrow(lambda batches: _count(_folded(batches)), COUNTS)
     return partial.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, copies, text): equal texts of a language in one slice become one row, beside it their number in each source."""
+    for batch in slices(batches):
+        texts = batch.column("text").dictionary_encode()
+        copies: dict[tuple[str, int], Counter] = defaultdict(Counter)
+        for lang, source, code in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), texts.indices.to_pylist(), strict=True):
+            copies[lang, code][source] += 1
+        counted = [[{"source": source, "n": n} for source, n in own.items()] for own in copies.values()]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([lang for lang, _ in copies], pa.string()),
+                pa.array(counted, COPIES),
+                texts.dictionary.take(pa.array([code for _, code in copies], pa.int64())),
+            ],
+            ["lang", "copies", "text"],
+        )
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Partial counts of the texts of a task, handed on whenever HELD_ENTRIES of them are held."""
     occurrences: dict[tuple[str, str], Counter] = defaultdict(Counter)

@@ -95,3 +95,24 @@ def test_odd_rows(spark):
 def test_a_hot_group_of_copies_and_one_source(spark):
     rows = [(words(40, 1, 30).upper(), "en", "hot")] * 400 + made_rows(60, 5)
     check(spark, rows, least=30, most=50)
+
+
+def test_texts_are_counted_where_they_are_read(spark):
+    """One shuffle, of partial counts: whole texts don't travel."""
+    named = spark.createDataFrame([("en", "a", "one two")] * 3, "lang string, source string, text string")
+    plan = module.term_counts(named)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_copies_in_a_slice_become_one_row():
+    rows = [("en", "a", "x y"), ("en", "b", "x y"), ("de", "a", "x y"), ("en", "a", "x y"), ("en", "a", ""), ("", "", "")]
+    batch = pa.RecordBatch.from_pylist([dict(zip(("lang", "source", "text"), r, strict=True)) for r in rows])
+    found = [r for x in module._folded(iter([batch])) for r in x.to_pylist()]
+    assert [(r["lang"], r["text"], {c["source"]: c["n"] for c in r["copies"]}) for r in found] == [
+        ("en", "x y", {"a": 2, "b": 1}),
+        ("de", "x y", {"a": 1}),
+        ("en", "", {"a": 1}),
+        ("", "", {"": 1}),
+    ]
+    counted = [r for x in module._count(module._folded(iter([batch]))) for r in x.to_pylist()]
+    assert sum(r["n"] for r in counted) == 8 and sum(r["docs"] for r in counted if not r["term"]) == 6
