@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -12,6 +14,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from tokenizers import Tokenizer, pre_tokenizers
 
 from tallyhawk.llm.common import byte_balanced, slices, text_column
 from tallyhawk.llm.tokenizer_pool import load_tokenizer
@@ -26,6 +29,29 @@ LEAST_FRAGMENT = 16
 MEMO_WORDS, MEMO_CHARS = 400_000, 40
 #: New words that the tokenizer gets in one string.
 JOINED_WORDS = 100
+#: What may end a plain word, and the letters before it: such a word is two pieces to a tokenizer of SPLITTING.
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: How a tokenizer normalizes and splits that takes plain words apart so: case is lost, letters end where punctuation begins.
+SPLITTING = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+}
 
 PIECES = T.StructType(
     [
@@ -43,7 +69,7 @@ PIECES = T.StructType(
 class KnownWords(dict):
     """Ids of words in two generations: what is looked up stays, what isn't goes with the older one.
 
-    A word that neither knows is noted in `unknown` and has no ids yet.
+    A word that neither knows is noted in `unknown` and has None for ids until they are set.
     """
 
     def __init__(self) -> None:
@@ -55,8 +81,7 @@ class KnownWords(dict):
         ids = self.older.get(word)
         if ids is None:
             self.unknown.add(word)
-        else:
-            self[word] = ids
+        self[word] = ids
         return ids
 
     def age(self) -> None:
@@ -67,6 +92,45 @@ class KnownWords(dict):
             self[""] = b""
 
 
+class LowerWords:
+    """Ids of lower-case words of LETTERS by the model of a tokenizer of SPLITTING, which leaves them as they are."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        self.tokenizer = Tokenizer(tokenizer.model)
+        split = pre_tokenizers.Split(" ", "removed")
+        self.tokenizer.pre_tokenizer = pre_tokenizers.Sequence([split, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary, suffix = tokenizer.get_vocab(), tokenizer.model.end_of_word_suffix
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+
+    @staticmethod
+    def fits(tokenizer: Tokenizer) -> bool:
+        """Whether the tokenizer is of SPLITTING, marks ends of words, and has no added token inside plain words."""
+        settings = json.loads(tokenizer.to_str())
+        added = (x["content"].rstrip(PUNCTUATION) for x in settings["added_tokens"])
+        model = settings["model"]
+        return (
+            all(settings[k] == v for k, v in SPLITTING.items())
+            and model["type"] == "BPE"
+            and bool(model["end_of_word_suffix"])
+            and not any(not x or LETTERS.fullmatch(x) for x in added)
+        )
+
+    def encode(self, words: list[str]) -> dict[str, bytes]:
+        """Words are told apart by the tokens that end one; what this can't tell apart is left out."""
+        found: dict[str, bytes] = {}
+        parts = [words[i : i + JOINED_WORDS] for i in range(0, len(words), JOINED_WORDS)]
+        for start, end in byte_balanced([" ".join(x) for x in parts], 1 << 20):
+            encoded = self.tokenizer.encode_batch_fast([" ".join(x) for x in parts[start:end]], add_special_tokens=False)
+            for own, e in zip(parts[start:end], encoded, strict=True):
+                ids = np.array(e.ids, "<u4")
+                cuts = [0, *(4 * np.flatnonzero(self.ends[ids]) + 4).tolist()]
+                if len(cuts) == len(own) + 1:
+                    data = ids.tobytes()
+                    found.update(zip(own, [data[i:j] for i, j in zip(cuts, cuts[1:], strict=False)], strict=True))
+        return found
+
+
 class WordIds:
     """Ids of texts by a tokenizer that drops white space, so that the ids of words join to those of the text.
 
@@ -75,6 +139,7 @@ class WordIds:
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
+        self.lower = LowerWords(self.tokenizer) if LowerWords.fits(self.tokenizer) else None
         self.known = KnownWords()
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -84,15 +149,40 @@ class WordIds:
             found.append(list(map(known.__getitem__, words)))
             cut.append(words)
         if known.unknown:
-            fresh = self._encode(list(known.unknown))
-            known.unknown.clear()
+            fresh = self._fresh(known.unknown)
             for ids, words in zip(found, cut, strict=True):
                 if None in ids:
                     ids[:] = [fresh[w] if x is None else x for x, w in zip(ids, words, strict=True)]
-            known.update((w, x) for w, x in fresh.items() if len(w) <= MEMO_CHARS)
+            known.update(fresh)
+            for long in [w for w in known.unknown if len(w) > MEMO_CHARS]:
+                del known[long]
+            known.unknown.clear()
         known.age()
         return list(map(b"".join, found))
 
+    def _fresh(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of words: of plain ones those of their letters in lower case and those of the punctuation behind."""
+        if self.lower is None:
+            return self._encode(list(words))
+        plain: dict[str, str] = {}
+        others: set[str] = set()
+        for word in words:
+            letters = word.rstrip(PUNCTUATION)
+            if letters.isalpha() if letters.isascii() else LETTERS.fullmatch(letters):
+                plain[word] = letters.lower()
+            else:
+                others.add(word)
+        letters = set(plain.values())
+        lower = self.lower.encode(list(letters))
+        if len(lower) < len(letters):
+            others.update(word for word, x in plain.items() if x not in lower)
+            plain = {word: x for word, x in plain.items() if x in lower}
+        # Lower-case letters are as many as before.
+        ends = self._encode(list({word[len(x) :] for word, x in plain.items()} - {""})) | {"": b""}
+        found = self._encode(list(others))
+        found.update({word: lower[x] + ends[word[len(x) :]] for word, x in plain.items()})
+        return found
+
     def _encode(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words: many at a time, parted by a blank, their ids told apart by where they begin."""
         parts = [words[i : i + JOINED_WORDS] for i in range(0, len(words), JOINED_WORDS)]

@@ -33,6 +33,40 @@ def test_word_ids_are_those_of_the_library(texts):
     assert got == [library.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+PLAIN = ["a", "Th", "é", "É", "ß", "ÿ", "ſ", "İ", "ª", "µ", "ŉ", "'", "'s", "'T", ".", ",\"", "<|", "|>", "endoftext", "<|endoftext|>", "_", "7", "\u0301", "\u0338", " ", " ", "\n"]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PLAIN), max_size=40).map("".join), max_size=4))
+def test_ids_of_plain_words_are_those_of_the_library(texts):
+    library = Tokenizer.from_file(WORDS)
+    words = packing.WordIds(WORDS)
+    for _ in range(2):  # the second time from memory
+        got = [np.frombuffer(x, "<u4").tolist() for x in words.encode(texts)]
+        assert got == [library.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_plain_words_pass_the_whole_tokenizer_by(monkeypatch):
+    """Only punctuation and odd words get there; case and punctuation make no new words, and long words aren't kept."""
+    words, seen = packing.WordIds(WORDS), []
+    encode = words._encode
+    monkeypatch.setattr(words, "_encode", lambda x: seen.extend(x) or encode(x))
+    texts = ["The the, THE. Élan élan...", "the x1 don't " + "a" * 50]
+    got = words.encode(texts)
+    assert set(seen) == {",", ".", "...", "x1", "don't"}
+    assert "a" * 50 not in words.known and not words.known.unknown and None not in words.known.values()
+    library = Tokenizer.from_file(WORDS)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [library.encode(x).ids for x in texts]
+
+
+def test_other_tokenizers_get_their_words_whole():
+    assert packing.LowerWords.fits(Tokenizer.from_file(WORDS)) and not packing.LowerWords.fits(Tokenizer.from_file(BYTES))
+    for token in ("word", "Word.", "..."):
+        library = Tokenizer.from_file(WORDS)
+        library.add_tokens([token])
+        assert not packing.LowerWords.fits(library)
+
+
 def test_counts_of_odd_rows(spark):
     library = Tokenizer.from_file(BYTES)
     got = sorted(map(tuple, token_counts(odd_documents(spark), BYTES).collect()), key=str)
