@@ -91,14 +91,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, 200):
         langs, copies = batch.column("lang").to_pylist(), batch.column("copies").to_pylist()
         for lang, sources, text in zip(langs, copies, batch.column("text"), strict=True):
-            terms = Counter(text.as_buffer().to_pybytes().translate(_TERM_BYTES).split())
+            found = text.as_buffer().to_pybytes().translate(_TERM_BYTES).split()
+            terms = set(found)
             for entry in sources:
                 group, times = (lang, entry["source"]), entry["n"]
                 if times == 1:
-                    occurrences[group].update(terms)
-                    documents[group].update(terms.keys())
+                    occurrences[group].update(found)
+                    documents[group].update(terms)
                 else:
-                    occurrences[group].update({t: n * times for t, n in terms.items()})
+                    occurrences[group].update({t: n * times for t, n in Counter(found).items()})
                     documents[group].update(dict.fromkeys(terms, times))
                 # Whatever its terms, the group occurs.
                 documents[group][b""] += times
