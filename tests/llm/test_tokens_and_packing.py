@@ -3,6 +3,8 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -59,6 +61,51 @@ def test_plain_words_pass_the_whole_tokenizer_by(monkeypatch):
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == [library.encode(x).ids for x in texts]
 
 
+def test_letters_stay_known_in_other_words(monkeypatch):
+    """A word's letters are encoded once, whatever their case, the punctuation behind them or the batch."""
+    words, seen = packing.WordIds(WORDS), []
+    encode, whole = words.lower.encode, words._encode
+    monkeypatch.setattr(words.lower, "encode", lambda x: seen.extend(x) or encode(x))
+    monkeypatch.setattr(words, "_encode", lambda x: seen.extend(x) or whole(x))
+    texts = ["The the, THE.\nÉlan", "tHe THE, the! élan; Élan.", "thE? ÉLAN! the;"]
+    library = Tokenizer.from_file(WORDS)
+    for text in texts:
+        assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == library.encode(text).ids
+    assert sorted(seen) == sorted(["the", "élan", ",", ".", "!", ";", "?"])
+
+
+def test_all_letters_and_all_punctuation_of_plain_words():
+    """Arrow's lower case, classes and ends of words are Python's and the tokenizer's."""
+    letters = [c for c in map(chr, range(0x180)) if packing.LETTERS.fullmatch(c)]
+    ends = ["", *packing.PUNCTUATION, packing.PUNCTUATION, "\t", "\r", "\x00", "\x0b", "\x85", "\xa0", "×", "÷", "ª", "\u0301", "1"]
+    texts = [" ".join(f"{c}{end} a{c}{c}{end}" for c in letters) for end in ends]
+    library = Tokenizer.from_file(WORDS)
+    words = packing.WordIds(WORDS)
+    assert words.encode([]) == []
+    got = [np.frombuffer(x, "<u4").tolist() for x in words.encode(texts)]
+    assert got == [library.encode(x, add_special_tokens=False).ids for x in texts]
+    plain = pc.extract_regex(pa.array([x + end for end in ["", packing.PUNCTUATION] for x in letters]), packing.PLAIN)
+    assert plain.null_count == 0 and [x["letters"] for x in plain.to_pylist()] == 2 * letters
+
+
+def test_words_of_other_tokenizers_are_told_apart_whole(monkeypatch):
+    words = packing.WordIds(WORDS)
+    monkeypatch.setattr(words, "lower", None)
+    texts = ["The the, THE.  x1", "", " \n", "THE. don't " + "a" * 50]
+    library = Tokenizer.from_file(WORDS)
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in words.encode(texts)] == [library.encode(x).ids for x in texts]
+    assert "THE." in words.known and "the," in words.known and "." not in words.known
+
+
+def test_memory_of_parts_changes_generations(monkeypatch):
+    monkeypatch.setattr(packing, "MEMO_WORDS", 6)
+    words, library = packing.WordIds(WORDS), Tokenizer.from_file(WORDS)
+    for text in ["one two, three", "two four! five", "one. six; two", "x1 ONE", "two", ""]:
+        assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == library.encode(text).ids
+        assert len(words.known) <= 3
+
+
 def test_other_tokenizers_get_their_words_whole():
     assert packing.LowerWords.fits(Tokenizer.from_file(WORDS)) and not packing.LowerWords.fits(Tokenizer.from_file(BYTES))
     for token in ("word", "Word.", "..."):
